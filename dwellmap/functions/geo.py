@@ -32,33 +32,49 @@ def haversine_np(lat1, lon1, lat2, lon2) -> np.ndarray:
     return 2 * EARTH_RADIUS_M * np.arcsin(np.sqrt(half_chord))
 
 
-def geohash(lat, lon, length: int) -> Column:
-    """Geohash of a point in degrees, 1 to 12 characters.
+def _interleaved_alphabet() -> str:
+    """The alphabet reordered so that a character is found at ``4 * a + b``.
 
-    Both axes are scaled to integers once; each character then takes five bits, alternating
-    between the axes and starting with longitude.
+    ``a`` are the three bits of the axis the character starts with, ``b`` the two of the other.
+    """
+    def index(a: int, b: int) -> int:
+        return sum(
+            bit << place
+            for place, bit in enumerate((a & 1, b & 1, a >> 1 & 1, b >> 1 & 1, a >> 2 & 1))
+        )
+
+    return "".join(GEOHASH_ALPHABET[index(a, b)] for a in range(8) for b in range(4))
+
+
+_PAIRED_ALPHABET = _interleaved_alphabet()
+
+
+def geohash(lat: str, lon: str, length: int) -> Column:
+    """Geohash of a point in degrees, 1 to 12 characters; null when a coordinate is.
+
+    ``lat`` and ``lon`` are column names or SQL expressions. Both axes are scaled to integers
+    once; each character then takes three bits of one and two of the other, starting with
+    longitude and taking turns.
     """
     if not 1 <= length <= 12:
         raise ValueError("geohash length must be between 1 and 12")
-    bits = 5 * length
-    lon_bits, lat_bits = (bits + 1) // 2, bits // 2
+    lon_bits, lat_bits = (5 * length + 1) // 2, 5 * length // 2
 
-    def scaled(c: Column, low: float, extent: float, n: int) -> Column:
-        cell = F.floor((c - F.lit(low)) / F.lit(extent) * F.lit(float(1 << n)))
-        return F.greatest(F.lit(0).cast("long"), F.least(cell, F.lit((1 << n) - 1).cast("long")))
+    def scaled(axis: str, low: int, extent: int, bits: int) -> str:
+        cell, top = f"floor((({axis}) - ({low}D)) / {extent}D * {1 << bits}D)", (1 << bits) - 1
+        return f"CASE WHEN {cell} < 0 THEN 0L WHEN {cell} > {top} THEN {top}L ELSE {cell} END"
 
-    lon_cell = scaled(_col(lon), -180.0, 360.0, lon_bits)
-    lat_cell = scaled(_col(lat), -90.0, 180.0, lat_bits)
+    first = [scaled(lon, -180, 360, lon_bits), lon_bits]
+    second = [scaled(lat, -90, 180, lat_bits), lat_bits]
     chars = []
-    for first in range(0, bits, 5):
-        index = F.lit(0).cast("long")
-        for bit in range(first, first + 5):
-            cell, width = (lon_cell, lon_bits) if bit % 2 == 0 else (lat_cell, lat_bits)
-            value = F.shiftright(cell, width - 1 - bit // 2).bitwiseAND(F.lit(1).cast("long"))
-            index = index * F.lit(2) + value
-        chars.append(F.substring(F.lit(GEOHASH_ALPHABET), (index + 1).cast("int"), F.lit(1)))
-    known = _col(lat).isNotNull() & _col(lon).isNotNull()
-    return F.when(known, F.concat(*chars))
+    for _ in range(length):
+        first[1] -= 3
+        second[1] -= 2
+        a, b = (f"shiftright({cell}, {left})" for cell, left in (first, second))
+        index = f"CAST(({a} & 7) * 4 + ({b} & 3) + 1 AS INT)"
+        chars.append(f"substring('{_PAIRED_ALPHABET}', {index}, 1)")
+        first, second = second, first
+    return F.expr(f"concat({', '.join(chars)})")
 
 
 def register_sql_functions(spark: SparkSession) -> None:

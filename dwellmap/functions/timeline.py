@@ -14,23 +14,25 @@ SPAN = "span"
 SPAN_DAYS = 28
 
 
-def add_span(df: DataFrame, time_column: str, days: int = SPAN_DAYS) -> DataFrame:
-    """Number the time span each row falls in and place every (user, span) in one partition."""
-    return df.withColumn(
-        SPAN, F.floor(F.unix_seconds(time_column) / F.lit(days * 86400)).cast("long")
-    )
+def by_span(df: DataFrame, keys: list[str], time_column: str, days: int = SPAN_DAYS) -> DataFrame:
+    """Number the time span of each row and bring the rows of every key and span together.
+
+    Rows without a key or time are on no one's time line and are left out.
+    """
+    span = F.floor(F.unix_seconds(time_column) / F.lit(days * 86400)).cast("long")
+    known = " AND ".join(f"{c} IS NOT NULL" for c in [*keys, SPAN])
+    return df.withColumn(SPAN, span).where(known).repartition(*keys, SPAN)
 
 
 def with_neighbour(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    payload: list[str],
-    name: str,
-    following: bool = False,
+    df: DataFrame, keys: list[str], order: list[str], name: str, following: bool = False
 ) -> DataFrame:
-    """Add struct ``name`` with ``payload`` of the previous (or following) row of the same keys."""
-    row, rank = F.struct(*payload), F.struct(*order)
+    """Add the previous (or following) row of the same keys as struct ``name``.
+
+    The struct holds the whole row: the summary and the rows then need the same columns, so Spark
+    shuffles ``df`` once and uses the shuffle for both.
+    """
+    row, rank = F.struct(*[c for c in df.columns if c not in (*keys, SPAN)]), F.struct(*order)
     step = F.lead if following else F.lag
     edge = F.min_by(row, rank) if following else F.max_by(row, rank)
     inside = Window.partitionBy(*keys, SPAN).orderBy(*order)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellmap.functions.geo import EARTH_RADIUS_M, haversine_m, haversine_np
-from dwellmap.functions.timeline import SPAN, add_span, with_running_total
+from dwellmap.functions.timeline import by_span, with_running_total
 from dwellmap.session import materialise
 
 ROAM_DIST_STOPS_M = 65
@@ -360,7 +360,7 @@ def _large_groups(stops: DataFrame, eps_m: float) -> DataFrame:
     )
     firsts = labelled.groupBy(*GROUP, "component").agg(F.min(F.struct(*STOP_ORDER)).alias("first"))
     numbered = with_running_total(
-        add_span(firsts.select("*", "first.begin"), "begin").repartition(*GROUP, SPAN),
+        by_span(firsts.select("*", "first.begin"), GROUP, "begin"),
         GROUP,
         ["first"],
         F.lit(1),

@@ -6,13 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellmap.functions.geo import haversine_m
-from dwellmap.functions.timeline import SPAN, add_span, with_neighbour, with_running_total
+from dwellmap.functions.timeline import SPAN, by_span, with_neighbour, with_running_total
 from dwellmap.operators.stops import MIN_STAY_MIN
 
 ROAM_DIST_EVENTS_M = 70
 NIGHT_HOUR = 6
 USER = ["userId"]
 STOP_ORDER = ["begin", "end", "latitude", "longitude"]
+_MERGE_INPUT = [
+    "userId",
+    "state",
+    *STOP_ORDER,
+    "prev_travelled_distance",
+    "next_travelled_distance",
+]
 
 
 def _new_day(rule: str) -> Column:
@@ -42,11 +49,8 @@ def merge_flag(
     A stop that overlaps the previous one never opens a group. Nulls count as "not known to have
     moved", so a user's first stop is marked only if distance was travelled before it.
     """
-    filled = add_span(stops.fillna(0.0, ["next_travelled_distance"]), "begin")
-    payload = ["latitude", "longitude", "end", "next_travelled_distance"]
-    seen = with_neighbour(
-        filled.repartition(*USER, SPAN), USER, STOP_ORDER, payload, "previous"
-    )
+    known = stops.select(*_MERGE_INPUT).fillna(0.0, ["next_travelled_distance"])
+    seen = with_neighbour(by_span(known, USER, "begin"), USER, STOP_ORDER, "previous")
     here = [F.radians(c) for c in ("latitude", "longitude")]
     there = [F.radians(F.col(f"previous.{c}")) for c in ("latitude", "longitude")]
     jump = F.coalesce(haversine_m(*there, *here), F.lit(0.0))
@@ -93,8 +97,8 @@ def repair_overlaps(merged: DataFrame, min_stay: float = MIN_STAY_MIN) -> DataFr
     Left alone when the next stop begins within twice ``min_stay``, as no room would remain.
     """
     gap = int(min_stay * 60)
-    spans = add_span(merged, "begin").repartition(*USER, SPAN)
-    ahead = with_neighbour(spans, USER, STOP_ORDER, ["begin"], "following", following=True)
+    spans = by_span(merged, USER, "begin")
+    ahead = with_neighbour(spans, USER, STOP_ORDER, "following", following=True)
     begins = F.col("following.begin")
     roomy = F.unix_seconds(begins) - F.unix_seconds("begin") > 2 * gap
     cut = begins - F.make_dt_interval(secs=F.lit(gap))

@@ -55,7 +55,7 @@ def local_offset(
     located = (
         cluster_centroids(clustered, centroid_keys)
         .withColumn("geohash7", geohash("clusterLatitude", "clusterLongitude", 7))
-        .withColumn("geohash5", F.substring("geohash7", 1, 5))
+        .withColumn("geohash5", F.coalesce(F.substring("geohash7", 1, 5), F.lit("")))
         .join(timezones, "geohash5", how)
         .drop("geohash5")
     )

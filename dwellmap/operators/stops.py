@@ -175,7 +175,7 @@ def detect_stops(
 
     A trajectory without stops stays as one row with null stop columns, as its distance counts
     towards the neighbouring stops. Only trajectories that last ``min_stay`` go to Python, as Arrow
-    lists; the user-day partitioning survives, so the next step needs no shuffle.
+    lists.
     """
     stay_us = int(min_stay * 60_000_000)
     lasts = F.unix_micros(F.expr("gpsdata[size(gpsdata) - 1].timestamp")) - F.unix_micros(
@@ -198,7 +198,7 @@ def detect_stops(
             F.timestamp_micros(stop["end_us"]).alias("end"),
             stop["personal_area"].alias("personal_area"),
             stop["distance"].alias("distance"),
-            geohash(F.degrees(stop["latitude"]), F.degrees(stop["longitude"]), 6).alias("geohash6"),
+            geohash("degrees(stop.latitude)", "degrees(stop.longitude)", 6).alias("geohash6"),
             stop["after_stop_distance"].alias("after_stop_distance"),
             "dist_sum",
         )
@@ -290,7 +290,8 @@ def travelled_distance(detected: DataFrame) -> DataFrame:
             "metres": F.when(is_stop, F.col("distance")).otherwise(F.col("dist_sum")),
         }
     )
-    only = ("latitude", "longitude", "begin", "end", "personal_area", "geohash6")
+    # Fixed-width columns only, so this stays a hash aggregate; the geohash is worked out after it.
+    only = ("latitude", "longitude", "begin", "end", "personal_area")
     legs = numbered.groupBy(*USER_DAY, "stops_left").agg(
         *[F.max(c).alias(c) for c in only],
         F.sum("metres").alias("prev_travelled_distance"),
@@ -300,10 +301,15 @@ def travelled_distance(detected: DataFrame) -> DataFrame:
         Window.partitionBy(*USER_DAY).orderBy(F.desc("stops_left"))
     )
     after = F.when(F.col("after_stop_distance") > 0, F.col("after_stop_distance"))
-    return to_degrees(
-        legs.withColumn("next_travelled_distance", F.coalesce(onward, after))
-        .dropna(subset=["latitude"])
-        .drop("stops_left")
+    with_next = legs.withColumn("next_travelled_distance", F.coalesce(onward, after))
+    found = to_degrees(with_next.dropna(subset=["latitude"]))
+    return found.select(
+        *USER_DAY,
+        *only,
+        geohash("latitude", "longitude", 6).alias("geohash6"),
+        "prev_travelled_distance",
+        "after_stop_distance",
+        "next_travelled_distance",
     )
 
 
@@ -318,5 +324,6 @@ def stops_with_state(stops: DataFrame, states: DataFrame, how: str = "inner") ->
     No broadcast hint: Spark broadcasts the lookup while it is below the size threshold and falls
     back to a shuffle join, with skew handling, beyond it.
     """
-    cell = F.expr("substring(geohash6, 1, length(geohash6) - 1)")
+    # Never null, so that no null check repeats the geohash expression below the join.
+    cell = F.coalesce(F.substring("geohash6", 1, 5), F.lit(""))
     return stops.withColumn("geohash5", cell).join(states, "geohash5", how).drop("geohash5")

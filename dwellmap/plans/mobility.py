@@ -39,8 +39,9 @@ def user_stops(
 ) -> DataFrame:
     """Pings to stops with travelled distances and state.
 
-    Two shuffles: one to thin pings per user-minute, one by process day and user that serves the
-    windows, the trajectory lists, the detection and the distances.
+    Three shuffles: one to thin pings per user-minute; one by process day and user that serves the
+    windows, the trajectory lists and the detection; and one of the far fewer detected stops, since
+    Python evaluation does not keep track of the partitioning.
     """
     found = stops.detect_stops(
         tracks(pings, roam_dist=roam_dist, **track_options), roam_dist, min_stay, center

@@ -65,6 +65,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage at a stage boundary with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Cut the lineage at a stage boundary: write to the shared folder and read back.
+
+    A Parquet table survives lost executors like a checkpoint does, and unlike one it is read with
+    only the columns asked for and tells the optimizer its size.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
