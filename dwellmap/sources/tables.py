@@ -60,9 +60,14 @@ def scan_date_range(
     )
 
 
-def read_many(spark: SparkSession, paths: list[str], format: str = "parquet") -> DataFrame:
-    """Several paths as one table, in one scan."""
-    return spark.read.format(format).load(paths)
+def read_many(
+    spark: SparkSession, paths: list[str], root: str | None = None, format: str = "parquet"
+) -> DataFrame:
+    """Several paths as one table, in one scan; below ``root``, folder names become columns."""
+    reader = spark.read.format(format)
+    if root:
+        reader = reader.option("basePath", root)
+    return reader.load(paths)
 
 
 def scan_state(spark: SparkSession, path: str, state: str) -> DataFrame:
