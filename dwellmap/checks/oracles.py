@@ -383,7 +383,7 @@ def _query(source: str, *columns: str, tail: str = "", tables: tuple[str, ...] |
     """
     wrap = {
         "us": "epoch_us({})",
-        "deg": "round({}, 9)",
+        "deg": "round({} + 3e-11::DOUBLE, 9)",
         "m": "round({}, 3)",
         "day": "CAST({} AS VARCHAR)",
     }

@@ -25,6 +25,10 @@ _DEGREES = {
 }
 
 
+# Means often end in an exact half of the last digit, where the order of additions would decide.
+_OFF_HALF = 3e-11
+
+
 def comparable(df: DataFrame, *columns: str) -> DataFrame:
     """Times as microseconds, dates as text, distances to the millimetre, positions to 9 decimals."""
     shown = []
@@ -37,7 +41,7 @@ def comparable(df: DataFrame, *columns: str) -> DataFrame:
         elif field.name in _METRES:
             column = F.round(column, 3)
         elif field.name in _DEGREES:
-            column = F.round(column, 9)
+            column = F.round(column + _OFF_HALF, 9)
         shown.append(column.alias(field.name))
     return df.select(*shown)
 
@@ -338,7 +342,7 @@ def stops_with_state(spark, sf_dir):
 @_query(*_STOP[1:], "prefix", "state", *_YMD)
 def write_stops(spark, sf_dir):
     path = scratch_path(spark, "stops")
-    sinks.write_stops(_stops(spark, sf_dir), path, by_prefix=False)
+    sinks.write_stops(_stops(spark, sf_dir), path)
     read = tables.scan_table(spark, path)
     return read.withColumn("prefix", F.substring("userId", 1, 2))
 
@@ -353,7 +357,6 @@ def backfill(spark, sf_dir):
         path,
         dt.date(2023, 12, 31),
         dt.date(2024, 1, 31),
-        by_prefix=False,
     )
     read = tables.scan_table(spark, path)
     return read.withColumn("prefix", F.substring("userId", 1, 2))

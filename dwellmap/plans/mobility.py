@@ -89,12 +89,14 @@ def backfill(
     stops_path: str,
     start: dt.date,
     end: dt.date,
-    by_prefix: bool = True,
+    by_prefix: bool = False,
     **options,
 ) -> None:
     """Detect and write the stops of every day from ``start`` to ``end`` in one job.
 
     Reads one day more for the overlap hours; partitions of other days are neither read nor touched.
+    For very long histories call it month by month, which keeps each shuffle at a sensible size;
+    days that are done can be found with ``sinks.pending_partitions``.
     """
     pings = scan_date_range(spark, pings_path, start, end + dt.timedelta(days=1))
     found = user_stops(pings, states, **options).where(

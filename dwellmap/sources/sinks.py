@@ -67,11 +67,14 @@ def write_pings(pings: DataFrame, path: str, **options) -> None:
     write_table(pings, path, PING_PARTITIONS, **options)
 
 
-def write_stops(stops: DataFrame, path: str, by_prefix: bool = True, **options) -> None:
-    """Stops of each process day, by prefix if wanted, and state."""
-    partitions = [p for p in STOP_PARTITIONS if by_prefix or p != "prefix"]
+def write_stops(stops: DataFrame, path: str, by_prefix: bool = False, **options) -> None:
+    """Stops by process day and state; by user prefix as well if readers want to pick users.
+
+    With prefixes there are 256 times as many folders, so leave them out for long histories.
+    """
+    partitions = tuple(p for p in STOP_PARTITIONS if by_prefix or p != "prefix")
     dated = with_day_columns(stops)
-    write_table(dated if by_prefix else dated.drop("prefix"), path, tuple(partitions), **options)
+    write_table(dated if by_prefix else dated.drop("prefix"), path, partitions, **options)
 
 
 def write_bin_hours(hours: DataFrame, path: str, **options) -> None:

@@ -31,7 +31,7 @@ def same(a, b):
 
 def test_stop_layout_and_reading_back(spark, stops, tmp_path):
     path = str(tmp_path / "stops")
-    sinks.write_stops(stops, path)
+    sinks.write_stops(stops, path, by_prefix=True)
     back = tables.scan_table(spark, path)
     assert same(back, sinks.with_day_columns(stops))
     assert dict(back.dtypes)["prefix"] == "string"
@@ -42,7 +42,7 @@ def test_stop_layout_and_reading_back(spark, stops, tmp_path):
 
 def test_scans_prune_partitions(spark, stops, tmp_path, capsys):
     path = str(tmp_path / "stops")
-    sinks.write_stops(stops, path, by_prefix=False)
+    sinks.write_stops(stops, path)
     one = tables.scan_partition(spark, path, year=2024, month=1, day=5)
     days = tables.scan_date_range(spark, path, "2024-01-05", dt.date(2024, 1, 6))
     state = tables.scan_state(spark, path, "NJ")
@@ -106,7 +106,7 @@ def test_backfill_touches_only_its_days(spark, stops, tmp_path):
     days = dt.date(2024, 1, 5), dt.date(2024, 1, 8)
     mobility.backfill(spark, pings, fixtures.states(spark), target, *days)
     wanted = stops.where(F.col("process_day").between(*[F.lit(d) for d in days]))
-    assert same(tables.scan_table(spark, target), sinks.with_day_columns(wanted))
+    assert same(tables.scan_table(spark, target), sinks.with_day_columns(wanted).drop("prefix"))
     pending = sinks.pending_partitions(
         tables.scan_table(spark, pings).select("year", "month", "day"),
         sinks.written_partitions(spark, target, ("year", "month", "day")),
