@@ -25,7 +25,7 @@ from dwellmap.functions.timeline import by_span, with_running_total
 from dwellmap.session import materialise
 
 ROAM_DIST_STOPS_M = 65
-GROUP_LIMIT = 20_000
+GROUP_LIMIT = 10_000
 GROUP = ["userId", "state"]
 STOP_ORDER = ["begin", "end", "latitude", "longitude"]
 
@@ -257,6 +257,8 @@ def _touching_cells(points: DataFrame, side: float, eps_m: float) -> DataFrame:
     undecided = judged.where("verdict IS NULL").select(
         *pair, F.lit("").alias("a_path"), F.lit("").alias("b_path")
     )
+    if undecided.take(1):
+        undecided = materialise(_still_apart(undecided, touching))
     while undecided.take(1):
         # Keep only points in undecided nodes and move each to its quarter of the node's box.
         sides = undecided.select(*GROUP, "row", "col", F.col("a_path").alias("path")).union(
@@ -293,6 +295,33 @@ def _touching_cells(points: DataFrame, side: float, eps_m: float) -> DataFrame:
     return touching
 
 
+def _edges(pairs: DataFrame) -> DataFrame:
+    """Pairs of cells as graph edges (u, v)."""
+    near = F.struct(F.col("near_row").alias("row"), F.col("near_col").alias("col"))
+    return pairs.select(*GROUP, F.struct("row", "col").alias("u"), near.alias("v"))
+
+
+def _still_apart(pairs: DataFrame, touching: DataFrame) -> DataFrame:
+    """Pairs of cells that are not already connected through other cells.
+
+    In dense areas nearly all are, and their stops need no closer look.
+    """
+    known = connected_components(_edges(touching), GROUP)
+    known = known.select(*GROUP, "u.row", "u.col", "component")
+    near_known = known.select(
+        *GROUP,
+        F.col("row").alias("near_row"),
+        F.col("col").alias("near_col"),
+        F.col("component").alias("near_component"),
+    )
+    return (
+        pairs.join(known, _CELL, "left")
+        .join(near_known, [*GROUP, "near_row", "near_col"], "left")
+        .where("component IS NULL OR near_component IS NULL OR component <> near_component")
+        .select(*pairs.columns)
+    )
+
+
 def _part(axis: str) -> Column:
     """Which of the equal parts of its node's box a point lies in, along one axis.
 
@@ -347,14 +376,11 @@ def _large_groups(stops: DataFrame, eps_m: float) -> DataFrame:
     placed = _with_cell(
         stops.withColumns({"lat": F.radians("latitude"), "lon": F.radians("longitude")}), side
     )
-    cell = F.struct("row", "col")
     points = placed.select(*_CELL, F.lit("").alias("path"), "lat", "lon").distinct()
     touching = _touching_cells(points, side, eps_m)
-    near = F.struct(F.col("near_row").alias("row"), F.col("near_col").alias("col"))
-    edges = touching.select(*GROUP, cell.alias("u"), near.alias("v"))
-    components = connected_components(edges, GROUP).withColumnRenamed("u", "cell")
+    components = connected_components(_edges(touching), GROUP).withColumnRenamed("u", "cell")
     labelled = (
-        placed.withColumn("cell", cell)
+        placed.withColumn("cell", F.struct("row", "col"))
         .join(components, [*GROUP, "cell"], "left")
         .withColumn("component", F.coalesce("component", "cell"))
     )

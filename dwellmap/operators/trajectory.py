@@ -72,12 +72,12 @@ def to_degrees(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.degrees(c) for c in ("latitude", "longitude")})
 
 
-def step_distance(pings: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def step_distance(pings: DataFrame) -> DataFrame:
     """Metres to the next and from the previous ping of the user-day; coordinates in radians.
 
     ``distance_next`` is null at the last ping, ``distance_prev`` is 0 at the first.
     """
-    track = Window.partitionBy(*(keys or USER_DAY)).orderBy("timestamp")
+    track = Window.partitionBy(*USER_DAY).orderBy("timestamp")
     onward = haversine_m(
         "latitude",
         "longitude",

@@ -90,16 +90,21 @@ def backfill(
     start: dt.date,
     end: dt.date,
     by_prefix: bool = False,
+    country: str | None = None,
     **options,
 ) -> None:
     """Detect and write the stops of every day from ``start`` to ``end`` in one job.
 
     Reads one day more for the overlap hours; partitions of other days are neither read nor touched.
-    For very long histories call it month by month, which keeps each shuffle at a sensible size;
-    days that are done can be found with ``sinks.pending_partitions``.
+    With ``country`` both tables are partitioned by country first. For very long histories call it
+    month by month, which keeps each shuffle at a sensible size; days that are done can be found
+    with ``sinks.pending_partitions``.
     """
     pings = scan_date_range(spark, pings_path, start, end + dt.timedelta(days=1))
+    within = {"country": country} if country else {}
+    if country:
+        pings = pings.where(F.col("country") == country)
     found = user_stops(pings, states, **options).where(
         F.col("process_day").between(F.lit(start), F.lit(end))
     )
-    sinks.write_stops(found, stops_path, by_prefix)
+    sinks.write_stops(found, stops_path, by_prefix, within=within)

@@ -15,8 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # One Arrow batch holds this many trajectories; each has at most 1 800 pings.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # Rows sent to Python are whole trajectories or stop lists, so batches are kept short.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

@@ -26,13 +26,18 @@ def write_table(
     partitions: tuple[str, ...],
     compression: str = COMPRESSION,
     files: int | None = None,
+    within: dict[str, str] | None = None,
 ) -> None:
     """Write a Hive-partitioned Parquet table, replacing only the partitions that have new rows.
 
     Rows are rebalanced by partition: a small one becomes a single file, and one that holds much
     of the data is split over several tasks and files. Writing a partition again overwrites it, so
     a rerun leaves the same table. ``files`` instead merges to at most that many tasks.
+    ``within`` puts the table below fixed partitions, such as ``{"country": "US"}``.
     """
+    for name, value in (within or {}).items():
+        df = df.withColumn(name, F.lit(value))
+    partitions = (*(within or {}), *partitions)
     laid_out = df.coalesce(files) if files else df.hint("rebalance", *partitions)
     (
         laid_out.write.mode("overwrite")

@@ -114,6 +114,20 @@ def test_backfill_touches_only_its_days(spark, stops, tmp_path):
     assert sorted(int(r.day) for r in pending.collect()) == [d for d in range(1, 31) if not 5 <= d <= 8]
 
 
+def test_backfill_of_one_country(spark, stops, tmp_path):
+    pings, target = str(tmp_path / "pings"), str(tmp_path / "stops")
+    dated = fixtures.pings(spark, SF_DIR).withColumn("process_day", F.to_date("timestamp"))
+    for country in ("US", "IT"):
+        sinks.write_table(
+            sinks.with_day_columns(dated), pings, ("year", "month", "day"), within={"country": country}
+        )
+    days = dt.date(2024, 1, 5), dt.date(2024, 1, 6)
+    mobility.backfill(spark, pings, fixtures.states(spark), target, *days, country="IT")
+    assert os.listdir(target + "/country=IT") == ["year=2024"]
+    wanted = stops.where(F.col("process_day").between(*[F.lit(d) for d in days]))
+    assert tables.scan_table(spark, target).count() == wanted.count()
+
+
 def test_ingest_limits(spark, tmp_path):
     day = int(dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc).timestamp())
     good = ["aa11", "1", "40.5", "-75.5", "12.5", "-18000", "OTHER", ""]
