@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import differences, duck
+from dwellmap.checks.oracles import ORACLES
+from dwellmap.checks.queries import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,13 +16,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query_matches_oracle(spark, con, name):
-    got = queries()[name](spark, SF_DIR).toPandas()
-    want = con.execute(oracle_sql()[name]).df()
+    got = all_queries()[name](spark, SF_DIR).toPandas()
+    want = con.execute(ORACLES[name]).df()
     assert differences(got, want) is None
 
 
