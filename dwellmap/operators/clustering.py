@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellmap.functions.geo import EARTH_RADIUS_M, haversine_m, haversine_np
+from dwellmap.functions.graph import connected_components
 from dwellmap.functions.timeline import by_span, with_running_total
 from dwellmap.session import materialise
 
@@ -332,45 +333,6 @@ def _part(axis: str) -> Column:
     return F.when(extent > 0, F.least(part, F.lit(_SPLIT - 1)).cast("string")).otherwise("0")
 
 
-def connected_components(edges: DataFrame, keys: list[str]) -> DataFrame:
-    """Smallest vertex reachable from each vertex ``u`` of undirected edges (u, v), per ``keys``.
-
-    Alternates two steps until nothing changes: every vertex hands its larger neighbours, then its
-    smaller ones, to the smallest vertex it knows. Each ends as a star around the smallest vertex,
-    after a number of rounds that grows with the logarithm of the component, not its diameter.
-    Only minima are aggregated, so a vertex with very many neighbours is never collected.
-    """
-    def known(pairs: DataFrame) -> DataFrame:
-        least = pairs.groupBy(*keys, "u").agg(F.min("v").alias("m"))
-        return pairs.join(least, [*keys, "u"]).withColumn("m", F.least("m", "u"))
-
-    def large(pairs: DataFrame) -> DataFrame:
-        both = pairs.union(pairs.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
-        return (
-            known(both).where("v > u").select(*keys, F.col("v").alias("u"), F.col("m").alias("v"))
-        )
-
-    def small(pairs: DataFrame) -> DataFrame:
-        seen = known(pairs)
-        handed = seen.where("v <> m").select(*keys, F.col("v").alias("u"), F.col("m").alias("v"))
-        return handed.union(seen.select(*keys, "u", F.col("m").alias("v"))).distinct()
-
-    stars = materialise(
-        edges.select(*keys, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .where("u <> v")
-        .distinct()
-    )
-    while True:
-        turned = materialise(small(large(stars).distinct()))
-        # Settled when no vertex is both a centre and attached to another one.
-        centres = turned.select(*keys, F.col("v").alias("u")).distinct()
-        settled = not turned.join(centres, [*keys, "u"], "left_semi").take(1)
-        repeated = turned.groupBy(*keys, "u").count().where("count > 1")
-        stars = turned
-        if settled and not repeated.take(1):
-            return stars.select(*keys, "u", F.col("v").alias("component"))
-
-
 def _large_groups(stops: DataFrame, eps_m: float) -> DataFrame:
     side = _CELL_SHRINK * eps_m / math.sqrt(2) / EARTH_RADIUS_M
     placed = _with_cell(

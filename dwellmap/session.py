@@ -81,3 +81,19 @@ def materialise(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "stage")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stage tables that no later step reads. Frames that were not written are left alone."""
+    for table in tables:
+        spark = table.sparkSession
+        root = shared_dir(spark).rstrip("/") + "/"
+        for file in table.inputFiles()[:1]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(file)
+            folder = path.getParent()
+            if folder.getName().startswith("stage-"):
+                fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+                if fs.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(root)).equals(
+                    fs.makeQualified(folder.getParent())
+                ):
+                    fs.delete(folder, True)
