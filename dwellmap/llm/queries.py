@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellmap.llm import exact_dedup, line_dedup, mixing
+from dwellmap.llm import exact_dedup, langid, line_dedup, mixing, packing, parity_join
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer_path() -> str:
+    """The installed public tokenizer; every executor has the same installation."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
     return out.select(
@@ -27,6 +34,14 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "n_tokens", "copies")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~langid.held_out()))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.remove_spread_lines(_table(spark, sf_dir, "documents"))
     return out.select(
@@ -37,10 +52,21 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.near_groups(_table(spark, sf_dir, "documents"), percent=90, words=3)
+
+
+def op10_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path or _tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op6_source_mixing": op6_source_mixing,
+    "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {
