@@ -103,7 +103,8 @@ def remove_spread_lines(
         .agg(F.collect_set("key").alias("__drop"))
     )
     found = materialise(found)
-    joined = docs.join(found, docs[id_column].eqNullSafe(found["__id"]), "left")
+    # The same plan at every size: texts are dealt by id whether or not few documents are affected.
+    joined = docs.join(found.hint("merge"), docs[id_column].eqNullSafe(found["__id"]), "left")
 
     def spread_line(x: Column) -> Column:
         return F.array_contains(F.col("__drop"), _key(x))
