@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellmap.llm import exact_dedup, langid, line_dedup, mixing, packing, parity_join
+from dwellmap.llm import exact_dedup, langid, line_dedup, mixing, ordinal_quality
+from dwellmap.llm import packing, parity_join
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,13 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    ratings = ordinal_quality.graded(_table(spark, sf_dir, "labels"))
+    model = ordinal_quality.train(docs, ratings)
+    return ordinal_quality.grade(docs.select("doc_id", "text"), model).drop("text")
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many tokens as the table has, no source more than twice."""
     out = mixing.mix(_table(spark, sf_dir, "documents"), max_repeats=2.0, budget=1.0)
@@ -62,6 +70,7 @@ def op10_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None =
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_quality": op5_quality,
     "op6_source_mixing": op6_source_mixing,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,

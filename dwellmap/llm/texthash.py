@@ -80,15 +80,18 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         row = end
 
 
-def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def words(
+    data: np.ndarray, bounds: np.ndarray, separators: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word, and for each text the number of words before it (one more at the end).
 
-    A word is a run of bytes other than ASCII white space, after A-Z became a-z.
+    A word is a run of bytes other than separators (a table of 256 flags; ASCII white space unless
+    given), after A-Z became a-z.
     """
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
-    solid = ~_separators()[data]
+    solid = ~(_separators() if separators is None else separators)[data]
     opens, closes = solid.copy(), solid.copy()
     opens[1:] &= ~solid[:-1]
     closes[:-1] &= ~solid[1:]
