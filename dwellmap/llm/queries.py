@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellmap.llm import exact_dedup, langid, line_dedup, mixing, ordinal_quality
+from dwellmap.llm import exact_dedup, html_blocks, langid, line_dedup, mixing, ordinal_quality
 from dwellmap.llm import packing, parity_join
 
 
@@ -22,6 +22,11 @@ def _tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return html_blocks.extract(pages, html_blocks.train(pages)).drop("html")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
     return out.select(
@@ -69,6 +74,7 @@ def op10_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None =
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_html_text": op2_html_text,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality": op5_quality,
     "op6_source_mixing": op6_source_mixing,
