@@ -15,11 +15,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tokenizer_path() -> str:
-    """The installed public tokenizer; every executor has the same installation."""
+def tokenizer() -> tuple[str, tuple[str, str]]:
+    """The installed public tokenizer, and its vocabulary as ranks with the split pattern. Every
+    executor has the same installation."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path("byte_bpe_50k.json"), (ranks, public_tokenizers.PATTERN)
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,8 +71,9 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.near_groups(_table(spark, sf_dir, "documents"), percent=90, words=3)
 
 
-def op10_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path or _tokenizer_path())
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, ranks = tokenizer()
+    return packing.pack(_table(spark, sf_dir, "documents"), path, ranks=ranks)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -12,7 +12,9 @@ from dwellmap.llm import packing
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PLAIN = Tokenizer.from_file(PATH)
-OURS = packing.WordTokenizer(PATH)
+RANKS = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+OURS = packing.WordTokenizer(PATH, RANKS)
+SLOW = packing.WordTokenizer(PATH)
 
 
 def plain(text):
@@ -23,6 +25,14 @@ def plain(text):
 @given(st.text(st.sampled_from(" \n\t\r\x0b 　ab'sé1,.ñ<|>"), max_size=30))
 def test_word_cache_gives_the_tokenizers_ids(text):
     assert OURS.ids(text).tolist() == plain(text)
+    assert SLOW.ids(text).tolist() == plain(text)
+
+
+def test_texts_of_the_table_and_special_names(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(300).collect()]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "x" * 100_000, "é\u2009ü  z", "\ud7ff\U0001f600 it's 'S 12a"]
+    for text in texts:
+        assert OURS.ids(text).tolist() == plain(text)
 
 
 def check(rows, pieces, length=1024):
@@ -55,7 +65,7 @@ def test_round_trip(spark):
     rows = [(0, None), (1, ""), (2, " "), (3, "word " * 5000), (4, "x" * 20_000)]
     rows += [(i, " ".join(f"w{n}" for n in rng.integers(0, 99, rng.integers(1, 900)))) for i in range(5, 300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    pieces = packing.pack(docs, PATH, group_docs=64).collect()
+    pieces = packing.pack(docs, PATH, group_docs=64, ranks=RANKS).collect()
     total = sum(p.length for p in pieces)
     assert check(rows, pieces) < 0.02 * total
 
