@@ -165,14 +165,22 @@ def train(
         F.col(text).cast("string").alias("text"),
     )
     keyed = usable.withColumn("h", F.xxhash64("text"))
-    ranked = Window.partitionBy("lang").orderBy("h")
+    # Hashes fall into 32 bands an octave; bands are taken from the lowest while the sample has room.
+    share = F.shiftrightunsigned("h", 1).cast("double") / F.lit(2.0**63) + F.lit(2.0**-63)
+    band = F.floor(F.log2(share) * 32).cast("int")
+    upto = F.sum("n").over(Window.partitionBy("lang").orderBy("band"))
     limits = (
         keyed.groupBy("lang", "h")
+        .agg(F.count("*").alias("copies"))
+        .groupBy("lang", band.alias("band"))
         .agg(F.count("*").alias("n"))
-        .withColumn("rank", F.row_number().over(ranked))
-        .where(F.col("rank") <= sample_per_language)
+        .withColumn("upto", upto)
         .groupBy("lang")
-        .agg(F.max("h").alias("limit"), F.count("*").alias("n"))
+        .agg(
+            F.max(F.when(F.col("upto") <= sample_per_language, F.col("band"))).alias("limit"),
+            F.sum("n").alias("n"),
+        )
+        .where("limit IS NOT NULL")
         .orderBy(F.desc("n"), "lang")
         .limit(max_languages)
         .collect()
@@ -181,7 +189,7 @@ def train(
     if not languages:
         return fit(np.zeros((0, FEATURES), np.float32), [], np.zeros(0, int))
     limit = F.create_map(*[F.lit(v) for r in limits for v in (r["lang"], r["limit"])])
-    chosen = keyed.where(F.col("h") <= limit[F.col("lang")]).dropDuplicates(["lang", "h"])
+    chosen = keyed.where(band <= limit[F.col("lang")]).dropDuplicates(["lang", "h"])
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellmap.llm import exact_dedup, html_blocks, langid, line_dedup, mixing, ordinal_quality
-from dwellmap.llm import packing, parity_join
+from dwellmap.llm import packing, parity_join, pivot_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def tokenizer() -> tuple[str, tuple[str, str]]:
     return public_tokenizers.path("byte_bpe_50k.json"), (ranks, public_tokenizers.PATTERN)
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_dedup.near_vectors(_table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     return html_blocks.extract(pages, html_blocks.train(pages)).drop("html")
@@ -77,6 +81,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_vectors": op1_near_vectors,
     "op2_html_text": op2_html_text,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality": op5_quality,
