@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellmap.llm import exact_dedup, html_blocks, langid, line_dedup, mixing, ordinal_quality
-from dwellmap.llm import packing, parity_join, pivot_dedup
+from dwellmap.llm import packing, parity_join, pivot_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(pages, html_blocks.train(pages)).drop("html")
 
 
+def op3_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=400)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
     return out.select(
@@ -83,6 +87,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_vectors": op1_near_vectors,
     "op2_html_text": op2_html_text,
+    "op3_repeated_strings": op3_repeated_strings,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality": op5_quality,
     "op6_source_mixing": op6_source_mixing,
