@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellmap.functions.graph import connected_components
+from dwellmap.llm.blocks import comparisons, deal_blocks
 from dwellmap.llm.texthash import mix, shingle_sets
 from dwellmap.session import discard, materialise
 
 _BAND_RATIO = 1.5
 _BLOCK_BITS = 256
-#: Rounds in which a block's members are compared with one member, before all open pairs are.
-_HUB_ROUNDS = 3
+#: Members of a list that one task compares with each other at a time.
+_LIST_PART = 1024
 
 
 def max_difference(total: int, percent: int) -> int:
@@ -95,17 +96,21 @@ def describe(tokens: np.ndarray, percent: int) -> tuple[int, int, np.ndarray, by
     return first, second, np.concatenate(keys) if keys else np.zeros(0, np.uint64), sketch
 
 
-def sketch_distance(a: bytes, b: bytes) -> int:
-    """Hamming distance of two parity sketches; the longer one is folded to the shorter.
+def _folded(sketch: bytes, size: int) -> np.ndarray:
+    """A sketch as 64-bit words, folded to ``size`` bytes.
 
     Sizes are powers of two and bits are taken modulo the size, so halves fold by XOR.
     """
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    if len(x) > len(y):
-        x, y = y, x
-    while len(y) > len(x):
-        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
+    words = np.frombuffer(sketch, np.uint64)
+    while words.nbytes > size:
+        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+    return words
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """Hamming distance of two parity sketches; the longer one is folded to the shorter."""
+    size = min(len(a), len(b))
+    return int(np.bitwise_count(_folded(a, size) ^ _folded(b, size)).sum())
 
 
 def _describe_all(percent: int, words: int):
@@ -162,6 +167,36 @@ def _near(percent: int):
     return near
 
 
+def _open_pairs(percent: int):
+    """Pairs of a list's members in different components whose sketches leave room."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for one, other in comparisons(batches):
+            two = one if other is None else other
+            if not len(one) or not len(two):
+                continue
+            size = min(len(x.as_py()) for t in (one, two) for x in t["sketch"])
+            left, right = (
+                np.stack([_folded(x.as_py(), size) for x in t["sketch"]]) for t in (one, two)
+            )
+            n, m = one["n"].to_numpy(), two["n"].to_numpy()
+            here, there = np.array(one["comp"].to_pylist()), np.array(two["comp"].to_pylist())
+            rows: list[np.ndarray] = []
+            columns: list[np.ndarray] = []
+            for row in range(len(left)):
+                start = row + 1 if other is None else 0
+                near = np.flatnonzero(here[row] != there[start:]) + start
+                apart = np.bitwise_count(left[row] ^ right[near]).sum(axis=1, dtype=np.int64)
+                near = near[apart <= (n[row] + m[near]) * (100 - percent) // (100 + percent)]
+                rows.append(np.full(len(near), row))
+                columns.append(near)
+            at, to = pa.array(np.concatenate(rows)), pa.array(np.concatenate(columns))
+            a, b = (t["id"].combine_chunks().take(x) for t, x in ((one, at), (two, to)))
+            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
+
+    return run
+
+
 def _similar(percent: int):
     @F.arrow_udf("boolean")
     def similar(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -189,9 +224,10 @@ def near_groups(
     text is one shingle). Texts without words, and null, link with nothing.
 
     Equal sets form classes first, by aggregation, and only one member of each goes on. The members
-    of a shared block are compared with one of them, then with others, so long as they are not yet
-    connected; a group of thousands of near copies collapses into one component after about as many
-    comparisons as it has members. What still stands apart in a block is compared pair by pair. The
+    of a shared block are first compared with one of them: a group of thousands of near copies falls
+    into few components after about as many comparisons as it has members. Where a block's members
+    still stand apart, all of them in different components are compared by sketch, in tasks of bounded
+    size, and only pairs close enough to be similar are listed and compared by their sets. The
     components are thus those of all links, without listing them. Rows with a null id link with
     nothing; rows that repeat an id are one document.
     """
@@ -233,45 +269,21 @@ def near_groups(
         discard(room)
         return links
 
-    links, asked, component = None, None, None
-    state = members
-    for step in range(_HUB_ROUNDS + 1):
-        if step:
-            # Blocks whose members are still in several components.
-            labelled = members.select("key", "id").join(
-                component.withColumnsRenamed({"u": "id", "component": "comp"}), "id", "left"
-            ).withColumn("comp", F.coalesce("comp", "id"))
-            labelled = materialise(labelled)
-            spots = labelled.groupBy("key").agg(
-                F.min("comp").alias("low"),
-                F.max("comp").alias("high"),
-                F.min(F.struct(F.xxhash64("id", F.lit(step)), "id", "comp")).alias("pick"),
-            ).where("low <> high")
-            state = materialise(
-                labelled.join(spots, "key").select(
-                    "key", "id", "comp", F.col("pick.id").alias("hub"), F.col("pick.comp").alias("hub_comp")
-                )
-            )
-            discard(labelled)
-            if not state.take(1):
-                break
-        if step < _HUB_ROUNDS:
-            pairs = state.where("id <> hub" if not step else "comp <> hub_comp").select(
-                F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")
-            )
-        else:
-            other = state.select("key", F.col("id").alias("id2"), F.col("comp").alias("comp2"))
-            pairs = state.join(other, "key").where("comp < comp2").select(
-                F.greatest("id", "id2").alias("a"), F.least("id", "id2").alias("b")
-            )
-        pairs = pairs.distinct()
-        if asked is not None:
-            pairs = pairs.join(asked, ["a", "b"], "left_anti")
-        pairs = materialise(pairs)
-        found = verified(pairs)
-        asked = pairs if asked is None else asked.union(pairs)
-        links = found if links is None else links.union(found)
-        component = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), [])
+    def components(links: DataFrame) -> DataFrame:
+        edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        return connected_components(edges, [])
+
+    hubs = members.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    links = verified(materialise(hubs))
+    component = components(links).withColumnsRenamed({"u": "id", "component": "comp"})
+    labelled = materialise(
+        members.select("key", "id").join(component, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    )
+    spots = labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    apart = labelled.join(spots.where("low <> high").select("key"), "key").join(sketches, "id")
+    pairs = deal_blocks(apart, _LIST_PART).mapInArrow(_open_pairs(percent), f"a {name}, b {name}")
+    pairs = materialise(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    component = components(links.union(verified(pairs)))
     resolved = materialise(
         classes.join(component.withColumnRenamed("u", "rep"), "rep", "left").select(
             *group, F.coalesce("component", "rep").alias("class_component")

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellmap.functions.graph import connected_components
+from dwellmap.llm.blocks import comparisons, deal_blocks
 from dwellmap.session import materialise
 
 SHARED = 3
@@ -152,64 +153,39 @@ def _roots(linked: np.ndarray, n: int, same: bool) -> list[tuple[int, int]]:
 
 
 def _verify(least: float):
-    """Walk the sorted members of list parts; emit per member its links, and connecting edges."""
-
-    def settle(run: dict, out: dict) -> None:
-        sides = {}
-        for side in (0, 1):
-            at = [i for i, s in enumerate(run["side"]) if s == side]
-            if at:
-                sides[side] = (
-                    [run["id"][i] for i in at],
-                    np.stack([np.frombuffer(run["unit"][i], np.float64) for i in at]),
-                    np.stack([np.frombuffer(run["top"][i], "<u2").astype(np.int64) for i in at]),
-                    np.array([run["size"][i] for i in at], np.int64),
-                )
-        same = run["i"] == run["j"]
-        if 0 not in sides or (not same and 1 not in sides):
-            return
-        a = sides[0]
-        b = a if same else sides[1]
-        linked = compare(run["key"], (a[1], a[2]), (b[1], b[2]), same, least)
-        if not linked.any():
-            return
-        ids = a[0] if same else a[0] + b[0]
-        counts = linked.astype(np.int64) @ b[3]
-        back = a[3] @ linked.astype(np.int64)
-        total = counts + back if same else np.concatenate([counts, back])
-        for member in np.flatnonzero(total):
-            out["u"].append(ids[member])
-            out["v"].append(None)
-            out["links"].append(int(total[member]))
-        for i, j in _roots(linked, len(a[0]), same):
-            out["u"].append(ids[i])
-            out["v"].append(ids[j])
-            out["links"].append(0)
-
-    def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current: dict | None = None
-        for batch in batches:
-            out: dict[str, list] = {"u": [], "v": [], "links": []}
-            kind = batch.schema.field("id").type
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                key, i, j, side, member, unit_, top, size = row
-                if current is None or (current["key"], current["i"], current["j"]) != (key, i, j):
-                    if current is not None:
-                        settle(current, out)
-                    current = {"key": key, "i": i, "j": j, "side": [], "id": [], "unit": [], "top": [], "size": []}
-                for name, value in (("side", side), ("id", member), ("unit", unit_), ("top", top), ("size", size)):
-                    current[name].append(value)
-            yield pa.RecordBatch.from_pydict(
-                out, pa.schema([("u", kind), ("v", kind), ("links", pa.int64())])
-            )
-        if current is not None:
-            out = {"u": [], "v": [], "links": []}
-            settle(current, out)
-            yield pa.RecordBatch.from_pydict(
-                out, pa.schema([("u", kind), ("v", kind), ("links", pa.int64())])
+    """Compare the blocks of lists; emit per member its links, and connecting edges."""
+
+    def opened(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        units = np.stack([np.frombuffer(u.as_py(), np.float64) for u in table["unit"]])
+        tops = np.stack([np.frombuffer(t.as_py(), "<u2").astype(np.int64) for t in table["top"]])
+        return table["id"].combine_chunks(), units, tops, table["size"].to_numpy()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for one, other in comparisons(batches):
+            if len(one) < 2 and other is None or not len(one) or other is not None and not len(other):
+                continue
+            same = other is None
+            ids, units, tops, sizes = opened(one)
+            ids2, units2, tops2, sizes2 = (ids, units, tops, sizes) if same else opened(other)
+            linked = compare(one["key"][0].as_py(), (units, tops), (units2, tops2), same, least)
+            if not linked.any():
+                continue
+            counts = linked.astype(np.int64) @ sizes2
+            back = sizes @ linked.astype(np.int64)
+            total = counts + back if same else np.concatenate([counts, back])
+            names = ids if same else pa.concat_arrays([ids, ids2])
+            found = np.flatnonzero(total)
+            edges = np.array(_roots(linked, len(ids), same), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    names.take(pa.array(np.concatenate([found, edges[:, 0]]))),
+                    pa.concat_arrays([pa.nulls(len(found), names.type), names.take(pa.array(edges[:, 1]))]),
+                    pa.array(np.concatenate([total[found], np.zeros(len(edges), np.int64)])),
+                ],
+                ["u", "v", "links"],
             )
 
-    return run_all
+    return run
 
 
 def near_vectors(
@@ -267,28 +243,8 @@ def near_vectors(
     postings = reps.select("id", "top").mapInArrow(_triples, f"key long, id {name}").select("key", "id")
     postings = materialise(postings)
     lists = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    members = (
-        postings.join(lists, "key")
-        .withColumn("blocks", blocks)
-        .withColumn("own", F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int"))
-        .select("key", "id", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    )
-    placed = (
-        members.join(reps, "id")
-        .select(
-            "key",
-            F.least("own", "other").alias("i"),
-            F.greatest("own", "other").alias("j"),
-            (F.col("own") > F.col("other")).cast("int").alias("side"),
-            "id",
-            "unit",
-            "top",
-            "size",
-        )
-        .repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j")
-    )
+    members = postings.join(lists.select("key"), "key").join(reps, "id")
+    placed = deal_blocks(members.select("key", "id", "unit", "top", "size"), BLOCK)
     verified = materialise(placed.mapInArrow(_verify(least), f"u {name}, v {name}, links long"))
     counts = verified.where("v IS NULL").groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("links"))
     component = connected_components(verified.where("v IS NOT NULL").select("u", "v"), [])

@@ -51,8 +51,9 @@ def corpus(rng):
     return rows
 
 
-@pytest.mark.parametrize("percent,k", [(90, 3), (80, 5)])
-def test_matches_all_pairs(spark, percent, k):
+@pytest.mark.parametrize("percent,k,part", [(90, 3, 1024), (80, 5, 1024), (80, 3, 3)])
+def test_matches_all_pairs(spark, monkeypatch, percent, k, part):
+    monkeypatch.setattr(parity_join, "_LIST_PART", part)
     rows = corpus(np.random.default_rng(5))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {tuple(r) for r in parity_join.near_groups(docs, percent, k).collect()}
