@@ -364,6 +364,7 @@ def _cluster_tables(suffix: str, source: str) -> None:
 
 
 _cluster_tables("", "repaired")
+_CTE["located_left"] = (_CTE["located"][0], _CTE["located"][1].replace("JOIN zones", "LEFT JOIN zones"))
 _cluster_tables("_v5", "merged_v5")
 _cluster_tables("_v3", "merged_v3")
 
@@ -447,8 +448,13 @@ ORACLES: dict[str, str] = {
     "scan_tsv": _query(
         "raw", *[f"c{i} AS _c{i}" for i in range(9)], "day:delivery_day"
     ),
-    "scan_partition": _query("pings", *_PING, *_T_YMD, "left(userId, 2) AS prefix"),
-    "scan_date_range": _query("pings", *_PING, *_T_YMD, "left(userId, 2) AS prefix"),
+    "scan_partition": _query(
+        "pings", *_PING, *_T_YMD, "left(userId, 2) AS prefix", tail="WHERE CAST(t AS DATE) = DATE '2024-01-09'"
+    ),
+    "scan_date_range": _query(
+        "pings", *_PING, *_T_YMD, "left(userId, 2) AS prefix",
+        tail="WHERE CAST(t AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'",
+    ),
     "scan_state": _query("stops", *_STOP, "state", tail="WHERE state = 'NJ'"),
     "lookup_states": _query(
         f"(SELECT {_geohash('latitude', 'longitude', 5)} AS geohash5, "
@@ -518,7 +524,10 @@ ORACLES: dict[str, str] = {
     "travelled_distance": _query("travelled", *_STOP),
     "stops_with_state": _query("stops", *_STOP, "state"),
     "write_stops": _stops_by_day,
-    "backfill": _stops_by_day,
+    "backfill": _query(
+        "stops", *_STOP[1:], "left(userId, 2) AS prefix", "state", *_D_YMD,
+        tail="WHERE d BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'",
+    ),
     "bin_hours": _query("hours", *_HOURS),
     "write_bin_hours": _bin_hours_table,
     "merge_flag": _query("flagged", "userId", "us:b AS begin", "us:e AS end", "m:jump AS distance_prev", "opens AS opens_group"),
@@ -538,6 +547,11 @@ ORACLES: dict[str, str] = {
     "local_offset": _query("located", "userId", "state", "clusterId", "us:b AS begin", "tzid", 'hours_ahead AS "offset"', "geohash7"),
     "visits": _query("located", *_VISIT),
     "write_visits": _query("located", *_VISIT),
+    "visits_all_zones": _query("located_left", *_VISIT),
+    "visits_v3": _query(
+        "clustered_v3", "left(userId, 2) AS prefix", "userId", "clusterId", "us:b AS begin", "us:e AS end",
+        "CAST(year(b) AS INT) AS year", "CAST(dayofyear(b) AS INT) AS dayofyear",
+    ),
     "places": _query(
         "located", *_PLACE, "min(state) AS state", tail="GROUP BY prefix, userId, clusterId, clat, clon, geohash7"
     ),

@@ -141,12 +141,12 @@ def scan_tsv(spark, sf_dir):
 
 @_query(*_PING, *_YMD, "prefix")
 def scan_partition(spark, sf_dir):
-    return tables.scan_partition(spark, _ping_table(spark, sf_dir), year=2024, month=1)
+    return tables.scan_partition(spark, _ping_table(spark, sf_dir), year=2024, month=1, day=9)
 
 
 @_query(*_PING, *_YMD, "prefix")
 def scan_date_range(spark, sf_dir):
-    return tables.scan_date_range(spark, _ping_table(spark, sf_dir), "2024-01-01", "2024-01-31")
+    return tables.scan_date_range(spark, _ping_table(spark, sf_dir), "2024-01-05", "2024-01-20")
 
 
 @_query(*_STOP, "state")
@@ -198,10 +198,8 @@ def ingest_stats(spark, sf_dir):
 def write_delivered(spark, sf_dir):
     path = scratch_path(spark, "delivered")
     delivered = ingest.ingest(fixtures.raw(spark, sf_dir))
-    # Days stay in the data here: day folders below delivery folders would be tiny at this size.
-    sinks.write_table(delivered, path, ("delivery_day", "year", "month"))
-    read = tables.scan_table(spark, path)
-    return read.withColumn("day", F.col("day").cast("string"))
+    sinks.write_delivered(delivered, path, by_prefix=False)
+    return tables.scan_table(spark, path)
 
 
 @_query(*_PING, "opt1")
@@ -355,8 +353,8 @@ def backfill(spark, sf_dir):
         _ping_table(spark, sf_dir),
         fixtures.states(spark),
         path,
-        dt.date(2023, 12, 31),
-        dt.date(2024, 1, 31),
+        dt.date(2024, 1, 5),
+        dt.date(2024, 1, 20),
     )
     read = tables.scan_table(spark, path)
     return read.withColumn("prefix", F.substring("userId", 1, 2))
@@ -374,7 +372,7 @@ def bin_hours(spark, sf_dir):
 def write_bin_hours(spark, sf_dir):
     path = scratch_path(spark, "hours")
     hours = activity.bin_hours(fixtures.pings(spark, sf_dir))
-    sinks.write_table(hours, path, ("year", "dayofyear"))
+    sinks.write_bin_hours(hours, path, by_prefix=False)
     return tables.scan_table(spark, path)
 
 
@@ -441,6 +439,18 @@ def visits(spark, sf_dir):
     return places.visits(_located(spark, sf_dir))
 
 
+@_query()
+def visits_v3(spark, sf_dir):
+    return places.visits(_located(spark, sf_dir, version=3))
+
+
+@_query()
+def visits_all_zones(spark, sf_dir):
+    """Places outside the time-zone lookup are kept, without an offset."""
+    stops_in = _stop_table(spark, sf_dir)
+    return places.visits(mobility.located_stops(stops_in, fixtures.timezones(spark), how="left"))
+
+
 @_query()
 def places_table(spark, sf_dir):
     return places.places(_located(spark, sf_dir))

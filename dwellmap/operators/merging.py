@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dwellmap.functions.geo import haversine_m
 from dwellmap.functions.timeline import SPAN, by_span, with_neighbour, with_running_total
 from dwellmap.operators.stops import MIN_STAY_MIN
+from dwellmap.session import materialise
 
 ROAM_DIST_EVENTS_M = 70
 NIGHT_HOUR = 6
@@ -73,9 +74,9 @@ def merge_stops(stops: DataFrame, by_state: bool = False, **rules) -> DataFrame:
 
     ``by_state`` splits groups at state borders, as earlier versions of the tables did.
     """
-    grouped = with_running_total(
-        merge_flag(stops, **rules), USER, ["begin"], F.col("opens_group"), "group"
-    )
+    # Written, as the running total reads the flags twice: the windows before it run once.
+    flagged = materialise(merge_flag(stops, **rules)).repartition(*USER, SPAN)
+    grouped = with_running_total(flagged, USER, ["begin"], F.col("opens_group"), "group")
     first_state = F.min_by("state", F.struct("begin", "end", "latitude", "longitude", "state"))
     states = [] if by_state else [first_state.alias("state")]
     return (

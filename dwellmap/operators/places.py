@@ -23,18 +23,6 @@ def cluster_centroids(
     )
 
 
-def with_centroids(
-    clustered: DataFrame, centroid_keys: tuple[str, ...] = CENTROID_KEYS
-) -> DataFrame:
-    """Attach the centre to every stop.
-
-    A window over (user, place) would sort all stops of a busy place in one task; the means are
-    aggregated map-side instead and joined back, where a skewed key can be split.
-    """
-    centroids = cluster_centroids(clustered, centroid_keys)
-    return clustered.drop("latitude", "longitude").join(centroids, list(centroid_keys))
-
-
 def hour_offset(at: Column | str, tzid: Column | str) -> Column:
     """Whole hours local time is ahead of UTC at an instant, cut off towards zero."""
     local = F.from_utc_timestamp(at, F.col(tzid) if isinstance(tzid, str) else tzid)
@@ -73,13 +61,27 @@ def local_offset(
     )
 
 
-def visits(located: DataFrame) -> DataFrame:
-    """One row per stop: which place, from when to when, and the local hour offset."""
-    return located.select(
-        "prefix", "userId", "clusterId", "begin", "end", "offset", "year", "dayofyear"
+def located_v3(clustered: DataFrame) -> DataFrame:
+    """Clustered stops as the earliest tables kept them: geohash-6 cell, no time zones, no stop lost."""
+    return clustered.withColumns(
+        {
+            "prefix": F.substring("userId", 1, 2),
+            "geohash6": geohash("latitude", "longitude", 6),
+            "year": F.year("begin"),
+            "dayofyear": F.dayofyear("begin"),
+        }
     )
 
 
+_VISIT = ("prefix", "userId", "clusterId", "begin", "end", "offset", "year", "dayofyear")
+
+
+def visits(located: DataFrame) -> DataFrame:
+    """One row per stop: which place, from when to when, and the local hour offset where it is known
+    (the earliest tables have none)."""
+    return located.select([c for c in _VISIT if c in located.columns])
+
+
 _PLACE = ["prefix", "userId", "clusterId", "clusterLatitude", "clusterLongitude", "geohash7"]
 
 
@@ -96,13 +98,7 @@ def places_distinct(located: DataFrame) -> DataFrame:
 def places_by_year(clustered: DataFrame) -> DataFrame:
     """Places per year with the geohash-6 cells of their stops, as the earliest tables kept them."""
     return (
-        clustered.withColumns(
-            {
-                "prefix": F.substring("userId", 1, 2),
-                "geohash6": geohash("latitude", "longitude", 6),
-                "year": F.year("begin"),
-            }
-        )
+        located_v3(clustered)
         .select("prefix", "userId", "clusterId", "geohash6", "year")
         .distinct()
         .join(cluster_centroids(clustered), list(CENTROID_KEYS))

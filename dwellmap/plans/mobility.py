@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellmap.operators import clustering, merging, places, stops, trajectory
+from dwellmap.session import discard, materialise
 from dwellmap.sources import sinks
 from dwellmap.sources.tables import scan_date_range
 
@@ -58,28 +58,43 @@ def located_stops(
     eps_m: float = clustering.ROAM_DIST_STOPS_M,
     centroid_keys: tuple[str, ...] = places.CENTROID_KEYS,
     group_limit: int = clustering.GROUP_LIMIT,
+    how: str = "inner",
     **rules,
 ) -> DataFrame:
     """Stops of all days to clustered stops with place centre and local offset.
 
     Version 6 merges across state borders and repairs overlaps; 5 merges within states; 3 also
-    starts a group on any later day.
+    starts a group on any later day, and knows no time zones: it keeps a geohash-6 cell per stop.
+    ``how="left"`` keeps places outside every time zone, without an offset. The clustered stops are
+    written before they are located, as centres and stops are both made of them.
     """
     if version == 6:
         merged = merging.repair_overlaps(merging.merge_stops(stop_table, **rules))
     else:
         rules.setdefault("day_rule", "later" if version == 3 else "next")
         merged = merging.merge_stops(stop_table, by_state=True, **rules)
-    clustered = clustering.cluster_places(merged, eps_m, group_limit)
-    return places.local_offset(clustered, timezones, centroid_keys)
+    clustered = materialise(clustering.cluster_places(merged, eps_m, group_limit))
+    if version == 3:
+        return places.located_v3(clustered)
+    return places.local_offset(clustered, timezones, centroid_keys, how)
+
 
+def write_visits_and_places(
+    located: DataFrame,
+    visits_path: str,
+    places_path: str,
+    country: str | None = None,
+    visits_layout: str = "prefix",
+) -> None:
+    """Write both published tables from one computation, kept in the shared folder meanwhile.
 
-def write_visits_and_places(located: DataFrame, visits_path: str, places_path: str) -> None:
-    """Write both published tables from one computation kept on disk."""
-    kept = located.persist(StorageLevel.DISK_ONLY)
-    sinks.write_visits(places.visits(kept), visits_path)
-    sinks.write_places(places.places(kept), places_path)
-    kept.unpersist()
+    With ``country`` both tables are partitioned by country first.
+    """
+    kept = materialise(located)
+    within = {"country": country} if country else {}
+    sinks.write_visits(places.visits(kept), visits_path, visits_layout, within=within)
+    sinks.write_places(places.places(kept), places_path, within=within)
+    discard(kept)
 
 
 def backfill(

@@ -7,12 +7,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings that can be changed on a running session.
-RUNTIME_CONF = {
+# Results depend on these, so every session gets them.
+REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # Two-digit hex prefixes and state codes must stay strings when they come from a path.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+# These only make runs faster; a session that sets them itself keeps its own values.
+RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Rows sent to Python are whole trajectories or stop lists, so batches are kept short.
@@ -33,7 +36,7 @@ def build_session(app_name: str = "dwellmap", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in RUNTIME_CONF.items():
+    for key, value in (REQUIRED_CONF | RUNTIME_CONF).items():
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -41,9 +44,11 @@ def build_session(app_name: str = "dwellmap", master: str | None = None, **conf:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a session somebody else built."""
-    for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+    """Apply the settings to a session somebody else built, without changing what it chose itself."""
+    chosen = spark.conf.getAll
+    for key, value in (REQUIRED_CONF | RUNTIME_CONF).items():
+        if key in REQUIRED_CONF or key not in chosen:
+            spark.conf.set(key, value)
     shared_dir(spark)
     return spark
 

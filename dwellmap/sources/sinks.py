@@ -61,10 +61,14 @@ def with_day_columns(df: DataFrame, day: str = "process_day") -> DataFrame:
 
 
 def write_delivered(
-    delivered: DataFrame, path: str, files: int | None = None, **options
+    delivered: DataFrame, path: str, files: int | None = None, by_prefix: bool = True, **options
 ) -> None:
-    """One folder per delivery day, then by event day and prefix."""
-    write_table(delivered, path, ("delivery_day", *PING_PARTITIONS), files=files, **options)
+    """One folder per delivery day, then by event day and, unless switched off, by user prefix.
+
+    Prefixes make thousands of folders per delivery; leave them out where no reader picks users.
+    """
+    partitions = tuple(p for p in PING_PARTITIONS if by_prefix or p != "prefix")
+    write_table(delivered, path, ("delivery_day", *partitions), files=files, **options)
 
 
 def write_pings(pings: DataFrame, path: str, **options) -> None:
@@ -82,8 +86,10 @@ def write_stops(stops: DataFrame, path: str, by_prefix: bool = False, **options)
     write_table(dated if by_prefix else dated.drop("prefix"), path, partitions, **options)
 
 
-def write_bin_hours(hours: DataFrame, path: str, **options) -> None:
-    write_table(hours, path, BIN_HOUR_PARTITIONS, **options)
+def write_bin_hours(hours: DataFrame, path: str, by_prefix: bool = True, **options) -> None:
+    """Activity hours by day and, unless switched off, by user prefix."""
+    partitions = tuple(p for p in BIN_HOUR_PARTITIONS if by_prefix or p != "prefix")
+    write_table(hours, path, partitions, **options)
 
 
 def write_visits(visits: DataFrame, path: str, layout: str = "prefix", **options) -> None:

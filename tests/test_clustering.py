@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from dwellmap.functions.geo import EARTH_RADIUS_M, haversine_np
+from dwellmap.functions import graph
 from dwellmap.operators import clustering, places
 
 DEGREE_M = EARTH_RADIUS_M * np.pi / 180
@@ -97,7 +98,7 @@ def test_components(spark):
     rng = random.Random(3)
     pairs = {(rng.randint(0, 200), rng.randint(0, 200)) for _ in range(150)} | {(500, v) for v in range(300, 400)}
     edges = spark.createDataFrame([("k", u, v) for u, v in pairs if u != v], "key string, u int, v int")
-    found = {r.u: r.component for r in clustering.connected_components(edges, ["key"]).collect()}
+    found = {r.u: r.component for r in graph.connected_components(edges, ["key"]).collect()}
     least = {x: x for p in pairs for x in p}
     for _ in least:
         for u, v in pairs:
@@ -110,7 +111,7 @@ def test_places_in_two_states_share_number_and_centre_unless_told_otherwise(spar
     clustered = clustering.cluster_places(spark.createDataFrame(data, STOPS))
     (centre,) = places.cluster_centroids(clustered).collect()
     assert (centre.clusterId, centre.clusterLatitude) == (0, 40.5)
-    apart = places.with_centroids(clustered, ("userId", "state", "clusterId")).collect()
+    apart = places.cluster_centroids(clustered, ("userId", "state", "clusterId")).collect()
     assert {(r.state, r.clusterLatitude) for r in apart} == {("NY", 40.0), ("NJ", 41.0)}
 
 
