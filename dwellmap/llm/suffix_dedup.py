@@ -20,12 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellmap.llm.texthash import _byte_values, _power, chunks, mix
-from dwellmap.session import materialise
+from dwellmap.session import discard, materialise
 
 #: Distinct contexts of one anchor that a task merges. Beyond, windows are compared by digests.
-MAX_CONTEXTS = 4096
+MAX_CONTEXTS = 2048
 _SHARD_BYTES = 1 << 18
-_BATCH_BYTES = 1 << 20
+_BATCH_BYTES = 1 << 19
 _PACKED = 7
 _PRIME = np.uint64(0xD6E8FEB86659FD93)
 
@@ -412,6 +412,7 @@ def remove_repeats(
         .join(wanted.hint("merge"), ["key", "digest"])
         .dropDuplicates(["digest"])
     )
+    discard(found)
     cut = materialise(
         texts.select("digest", "text", "spots").mapInArrow(
             _cut_contexts(length), "digest binary, anchor long, first long, name binary, context binary"
@@ -420,6 +421,8 @@ def remove_repeats(
     contexts = materialise(
         cut.groupBy("anchor", "name").agg(F.first("context").alias("context"), F.count("*").alias("count"))
     )
+    placed = materialise(cut.select("digest", "anchor", "name", "first"))
+    discard(cut)
     sizes = materialise(contexts.groupBy("anchor").agg(F.count("*").alias("n")))
     usual = contexts.join(sizes.where(F.col("n") <= max_contexts).select("anchor"), "anchor")
     merged = (
@@ -440,8 +443,7 @@ def remove_repeats(
     )
     runs = materialise(merged.unionByName(compared).where(F.size("runs") > 0))
     spans = (
-        cut.select("digest", "anchor", "name", "first")
-        .join(runs, ["anchor", "name"])
+        placed.join(runs, ["anchor", "name"])
         .select(
             "digest",
             F.transform(
