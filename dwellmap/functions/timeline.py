@@ -14,16 +14,19 @@ from pyspark.sql import functions as F
 
 SPAN = "span"
 SPAN_DAYS = 28
+_NO_TIME = -(1 << 62)
 
 
 def by_span(df: DataFrame, keys: list[str], time_column: str, days: int = SPAN_DAYS) -> DataFrame:
     """Number the time span of each row and bring the rows of every key and span together.
 
-    Rows without a key or time are on no one's time line and are left out.
+    Rows without a time come first, in a span of their own. Rows without a key are on no one's time
+    line and are left out.
     """
     span = F.floor(F.unix_seconds(time_column) / F.lit(days * 86400)).cast("long")
-    known = " AND ".join(f"{c} IS NOT NULL" for c in [*keys, SPAN])
-    return df.withColumn(SPAN, span).where(known).repartition(*keys, SPAN)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in keys)
+    spans = df.withColumn(SPAN, F.coalesce(span, F.lit(_NO_TIME)))
+    return spans.where(known).repartition(*keys, SPAN)
 
 
 def with_neighbour(

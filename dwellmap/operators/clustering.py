@@ -29,6 +29,8 @@ ROAM_DIST_STOPS_M = 65
 GROUP_LIMIT = 10_000
 GROUP = ["userId", "state"]
 STOP_ORDER = ["begin", "end", "latitude", "longitude"]
+# Stands for a missing user or state while stops are joined by them.
+_UNKNOWN = "\0"
 
 # Cells are a little smaller than eps / sqrt(2), so that rounding cannot stretch the diagonal.
 _CELL_SHRINK = 0.999
@@ -363,10 +365,18 @@ def cluster_places(
 ) -> DataFrame:
     """Give each stop (degrees) the number of its place within its user and state.
 
-    Places are numbered from 0 by their first stop. The stops are written to the shared folder
-    first, as group sizes must be known before choosing how to cluster.
+    Places are numbered from 0 by their first stop; a stop without a time comes first. Stops without
+    a user or state form groups like any others. The stops are written to the shared folder first, as
+    group sizes must be known before choosing how to cluster; both ways give the same places.
     """
-    known = materialise(stops.select(*GROUP, *STOP_ORDER))
+    named = {c: F.coalesce(F.col(c), F.lit(_UNKNOWN)) for c in GROUP}
+    known = materialise(stops.select(*GROUP, *STOP_ORDER).withColumns(named))
+    return _cluster_known(known, eps_m, group_limit).withColumns(
+        {c: F.nullif(F.col(c), F.lit(_UNKNOWN)) for c in GROUP}
+    )
+
+
+def _cluster_known(known: DataFrame, eps_m: float, group_limit: int) -> DataFrame:
     large = known.groupBy(*GROUP).count().where(F.col("count") > group_limit).drop("count")
     if not large.take(1):
         return _small_groups(known, eps_m)

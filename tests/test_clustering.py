@@ -123,3 +123,22 @@ def test_offset_is_cut_towards_zero(spark):
     (row,) = places.local_offset(clustered, zones).collect()
     assert row.offset == -3 and row.prefix == "aa" and row.dayofyear == 1
     assert places.local_offset(clustered, zones.where("false")).count() == 0
+
+
+def test_stops_without_user_state_or_time_are_kept(spark):
+    data = rows([40.0, 40.0001, 41.0], [-75.0] * 3)
+    data = [(*r[:4], None if i == 1 else r[4], r[5]) for i, r in enumerate(data)]
+    data += [(None, None, *r[2:]) for r in data] + [("aa01", None, *r[2:]) for r in data]
+    found = []
+    for limit in (0, 10_000):
+        clustered = clustering.cluster_places(spark.createDataFrame(data, STOPS), group_limit=limit)
+        found.append(sorted((tuple(r) for r in clustered.collect()), key=str))
+    assert found[0] == found[1] and len(found[0]) == 9
+    assert {r[:2] for r in found[0]} == {("aa01", "NY"), (None, None), ("aa01", None)}
+
+
+def test_a_hot_star_is_split(spark):
+    """The edges of one vertex are dealt to several tasks once its minimum is written."""
+    edges = spark.range(1, 60_001).selectExpr("'k' AS key", "id AS u", "0L AS v")
+    found = graph.connected_components(edges, ["key"])
+    assert found.where("component <> 0").count() == 0 and found.count() == 60_000
