@@ -11,7 +11,7 @@ import base64
 import os
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,19 @@ PIECES = (
 )
 
 
+class _Words(dict):
+    """Ids of words after a space, encoded when first asked for."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.encode, self.chars = encode, 0
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = found = self.encode(" " + word)
+        self.chars += len(word)
+        return found
+
+
 class WordTokenizer:
     """Token ids of whole texts, with the ids of words kept for reuse.
 
@@ -58,8 +71,7 @@ class WordTokenizer:
                 "ranks", pat_str=ranks[1], mergeable_ranks=known, special_tokens={}
             ).encode_ordinary
             self._piece = lambda text: array("I", encode(text)).tobytes()
-        self._known: dict[str, bytes] = {}
-        self._chars = 0
+        self._known = _Words(self._piece)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -72,16 +84,10 @@ class WordTokenizer:
         first = self._piece(pieces[0])
         del pieces[0]
         known = self._known
-        try:
-            rest = [known[p] for p in pieces]
-        except KeyError:
-            if len(known) > _CACHED_WORDS or self._chars > _CACHED_CHARS:
-                known.clear()
-                self._chars = 0
-            for p in set(pieces) - known.keys():
-                known[p] = self._piece(" " + p)
-                self._chars += len(p)
-            rest = [known[p] for p in pieces]
+        if len(known) > _CACHED_WORDS or known.chars > _CACHED_CHARS:
+            known.clear()
+            known.chars = 0
+        rest = [known[p] for p in pieces]
         return np.frombuffer(first + b"".join(rest), "<u4")
 
 
