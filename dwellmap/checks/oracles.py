@@ -566,3 +566,5 @@ ORACLES: dict[str, str] = {
     ),
 }
 ORACLES["write_places"] = ORACLES["places"]
+ORACLES["rewrite_places"] = ORACLES["places"]
+ORACLES["rewrite_stops"] = ORACLES["write_stops"]

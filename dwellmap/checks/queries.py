@@ -484,3 +484,24 @@ def write_visits(spark, sf_dir):
 @_query()
 def write_places(spark, sf_dir):
     return tables.scan_table(spark, _written(spark, sf_dir)[1])
+
+
+@_query()
+def rewrite_places(spark, sf_dir):
+    """Places written twice: what the first run put into other states is gone after the second."""
+    path = scratch_path(spark, "places")
+    table = materialise(places.places(_located(spark, sf_dir)))
+    sinks.write_places(table.withColumn("state", F.lit("XX")), path)
+    sinks.write_places(table, path)
+    return tables.scan_table(spark, path)
+
+
+@_query(*_STOP[1:], "prefix", "state", *_YMD)
+def rewrite_stops(spark, sf_dir):
+    """Stops of all days written twice, first with wrong states."""
+    path = scratch_path(spark, "stops")
+    table = _stop_table(spark, sf_dir)
+    sinks.write_stops(table.withColumn("state", F.concat("state", F.lit("2"))), path)
+    sinks.write_stops(table, path)
+    read = tables.scan_table(spark, path)
+    return read.withColumn("prefix", F.substring("userId", 1, 2))

@@ -27,18 +27,23 @@ def write_table(
     compression: str = COMPRESSION,
     files: int | None = None,
     within: dict[str, str] | None = None,
+    unit: int = 0,
 ) -> None:
-    """Write a Hive-partitioned Parquet table, replacing only the partitions that have new rows.
+    """Write a Hive-partitioned Parquet table, replacing only what has new rows.
 
     Rows are rebalanced by partition: a small one becomes a single file, and one that holds much
-    of the data is split over several tasks and files. Writing a partition again overwrites it, so
-    a rerun leaves the same table. ``files`` instead merges to at most that many tasks.
-    ``within`` puts the table below fixed partitions, such as ``{"country": "US"}``.
+    of the data is split over several tasks and files. ``files`` instead merges to at most that many
+    tasks. ``within`` puts the table below fixed partitions, such as ``{"country": "US"}``.
+
+    A partition with new rows is overwritten. With ``unit``, the first so many partition columns name
+    the unit of work, such as a day: all partitions of a unit that has new rows are replaced, also
+    those that no longer get any, so a rerun on changed input leaves no stale rows.
     """
     for name, value in (within or {}).items():
         df = df.withColumn(name, F.lit(value))
     partitions = (*(within or {}), *partitions)
     laid_out = df.coalesce(files) if files else df.hint("rebalance", *partitions)
+    before = _leaf_files(df.sparkSession, path) if unit else {}
     (
         laid_out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -46,6 +51,38 @@ def write_table(
         .partitionBy(*partitions)
         .parquet(path)
     )
+    if unit:
+        _drop_stale(df.sparkSession, before, _leaf_files(df.sparkSession, path), len(partitions), len(within or {}) + unit)
+
+
+def _leaf_files(spark: SparkSession, path: str) -> dict[str, set[str]]:
+    """Data files of a table by folder."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str, set[str]] = {}
+    if fs.exists(root):
+        files = fs.listFiles(root, True)
+        while files.hasNext():
+            file = files.next().getPath()
+            if file.getName().startswith("part-"):
+                found.setdefault(file.getParent().toString(), set()).add(file.getName())
+    return found
+
+
+def _drop_stale(
+    spark: SparkSession, before: dict[str, set[str]], after: dict[str, set[str]], depth: int, unit: int
+) -> None:
+    """Delete the folders that the last write left alone in units it wrote to."""
+
+    def unit_of(folder: str) -> tuple[str, ...]:
+        return tuple(folder.split("/")[-depth:][:unit])
+
+    fresh = {f for f, files in after.items() if files - before.get(f, set())}
+    touched = {unit_of(f) for f in fresh}
+    for folder in after.keys() - fresh:
+        if unit_of(folder) in touched:
+            stale = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            stale.getFileSystem(spark._jsc.hadoopConfiguration()).delete(stale, True)
 
 
 def with_day_columns(df: DataFrame, day: str = "process_day") -> DataFrame:
@@ -68,41 +105,50 @@ def write_delivered(
     Prefixes make thousands of folders per delivery; leave them out where no reader picks users.
     """
     partitions = tuple(p for p in PING_PARTITIONS if by_prefix or p != "prefix")
-    write_table(delivered, path, ("delivery_day", *partitions), files=files, **options)
+    write_table(delivered, path, ("delivery_day", *partitions), files=files, **{"unit": 1} | options)
 
 
 def write_pings(pings: DataFrame, path: str, **options) -> None:
-    """Consolidated pings by event day and prefix."""
-    write_table(pings, path, PING_PARTITIONS, **options)
+    """Consolidated pings by event day and prefix; a day is written as a whole."""
+    write_table(pings, path, PING_PARTITIONS, **{"unit": 3} | options)
 
 
 def write_stops(stops: DataFrame, path: str, by_prefix: bool = False, **options) -> None:
     """Stops by process day and state; by user prefix as well if readers want to pick users.
 
-    With prefixes there are 256 times as many folders, so leave them out for long histories.
+    With prefixes there are 256 times as many folders, so leave them out for long histories. A day is
+    written as a whole; pass ``unit=0`` to write some users of a day only.
     """
     partitions = tuple(p for p in STOP_PARTITIONS if by_prefix or p != "prefix")
     dated = with_day_columns(stops)
-    write_table(dated if by_prefix else dated.drop("prefix"), path, partitions, **options)
+    write_table(
+        dated if by_prefix else dated.drop("prefix"), path, partitions, **{"unit": 3} | options
+    )
 
 
 def write_bin_hours(hours: DataFrame, path: str, by_prefix: bool = True, **options) -> None:
     """Activity hours by day and, unless switched off, by user prefix."""
     partitions = tuple(p for p in BIN_HOUR_PARTITIONS if by_prefix or p != "prefix")
-    write_table(hours, path, partitions, **options)
+    write_table(hours, path, partitions, **{"unit": 2} | options)
 
 
 def write_visits(visits: DataFrame, path: str, layout: str = "prefix", **options) -> None:
     """Visits by prefix, or with ``layout="day"`` also by day of the year."""
     write_table(
-        visits, path, VISIT_DAY_PARTITIONS if layout == "day" else VISIT_PARTITIONS, **options
+        visits,
+        path,
+        VISIT_DAY_PARTITIONS if layout == "day" else VISIT_PARTITIONS,
+        **{"unit": 1} | options,
     )
 
 
 def write_places(places: DataFrame, path: str, layout: str = "state", **options) -> None:
     """Places by prefix and state, or with ``layout="year"`` by prefix and year."""
     write_table(
-        places, path, PLACE_YEAR_PARTITIONS if layout == "year" else PLACE_PARTITIONS, **options
+        places,
+        path,
+        PLACE_YEAR_PARTITIONS if layout == "year" else PLACE_PARTITIONS,
+        **{"unit": 1} | options,
     )
 
 
