@@ -128,7 +128,7 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def train(
-    docs: DataFrame, ratings: DataFrame, text: str = "text", max_sample: int = 5000
+    docs: DataFrame, ratings: DataFrame, text: str = "text", max_sample: int = 8000
 ) -> Model:
     """Learn from at most ``max_sample`` rated documents, taken by the order of a hash of their ids.
 
