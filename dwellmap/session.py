@@ -23,6 +23,7 @@ RUNTIME_CONF = {
 }
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SHUFFLE_BYTES_PER_TASK = 256 * 1024 * 1024
 
 
@@ -83,9 +84,19 @@ def materialise(df: DataFrame) -> DataFrame:
     A Parquet table survives lost executors like a checkpoint does, and unlike one it is read with
     only the columns asked for and tells the optimizer its size.
     """
-    path = scratch_path(df.sparkSession, "stage")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage")
+    # Once the table stands, nothing reads the shuffles that made it; a long chain of stages would
+    # otherwise hold all of them until the driver collects its garbage.
+    chosen = _CLEANUP in spark.conf.getAll
+    if not chosen:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if not chosen:
+            spark.conf.unset(_CLEANUP)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(*tables: DataFrame) -> None:
