@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dwellmap.llm.sampling import hash_sample
 from dwellmap.llm.texthash import chunks, words
 
 _PATH, _WORD, _FORM = 192, 32, 8
@@ -444,14 +445,10 @@ def train(
     of a hash. Those with article or main elements are examples themselves. ``layouts`` pages of
     random structure, whose labels are known, teach the parts that these pages don't show.
     """
-    sample = (
-        pages.select(F.col(html_column).cast("string").alias("page"))
-        .where(F.length("page").between(1, 200_000))
-        .select(F.xxhash64("page").alias("h"), "page")
-        .orderBy("h", "page")
-        .limit(sample_pages)
-        .collect()
+    usable = pages.select(F.col(html_column).cast("string").alias("page")).where(
+        F.length("page").between(1, 200_000)
     )
+    sample = hash_sample(usable, ["page"], sample_pages, pages.count()).collect()
     rng = np.random.default_rng(seed)
     examples, known = [], set()
     for row in sample:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from dwellmap.functions.graph import connected_components
 from dwellmap.llm.blocks import comparisons, deal_blocks
+from dwellmap.llm.sampling import hash_sample
 from dwellmap.session import materialise
 
 SHARED = 3
@@ -215,14 +216,12 @@ def near_vectors(
         & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("embedding", lambda x: x != 0)
     )
-    key = F.xxhash64("embedding")
-    sample = (
-        usable.select(key.alias("h"), "embedding").orderBy("h").limit(sample_vectors).toArrow().to_pylist()
-    )
-    found = {row["h"]: unit(row["embedding"]) for row in sample}
+    total = vectors.count()
+    sample = hash_sample(usable.select("embedding"), ["embedding"], sample_vectors, total)
+    found = {row["h"]: unit(row["embedding"]) for row in sample.toArrow().to_pylist()}
     lengths = [len(u) for u in found.values() if u is not None]
     size = max(sorted(set(lengths)), key=lengths.count) if lengths else 0
-    wanted, near = index_size(vectors.count())
+    wanted, near = index_size(total)
     pivots = choose_pivots([u for u in found.values() if u is not None and len(u) == size], wanted)
     near = min(near, len(pivots))
 
