@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dwellmap.llm.sampling import hash_sample, hash_share
 from dwellmap.llm.texthash import chunks, words
 
 _WORDS = 1 << 18
@@ -136,10 +137,9 @@ def train(
     other document's text moves. Only its features come to the driver: at most 2 MB a text whatever
     its length, and usually a few.
     """
-    key = F.xxhash64("doc_id")
-    limit = (
-        ratings.select(key.alias("h")).orderBy("h").limit(max_sample).agg(F.max("h")).first()[0]
-    )
+    key = hash_share("doc_id")
+    rated = hash_sample(ratings.select("doc_id"), ["doc_id"], max_sample, ratings.count())
+    limit = rated.agg(F.max("h")).first()[0]
     if limit is None:
         return fit([], np.zeros(0, int))
     chosen = (
@@ -164,7 +164,7 @@ def train(
 
     sample = (
         chosen.select(key.alias("h"), "grade", "text")
-        .mapInArrow(described, "h long, grade int, places binary, values binary")
+        .mapInArrow(described, "h double, grade int, places binary, values binary")
         .toArrow()
         .sort_by("h")
     )
