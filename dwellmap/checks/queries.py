@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dwellmap import schemas
 from dwellmap.checks import fixtures
 from dwellmap.functions.geo import geohash
 from dwellmap.operators import activity, clustering, ingest, merging, places, stops, trajectory
@@ -478,12 +479,12 @@ def _written(spark, sf_dir):
 
 @_query()
 def write_visits(spark, sf_dir):
-    return tables.scan_table(spark, _written(spark, sf_dir)[0])
+    return tables.scan_table(spark, _written(spark, sf_dir)[0], schema=schemas.VISITS)
 
 
 @_query()
 def write_places(spark, sf_dir):
-    return tables.scan_table(spark, _written(spark, sf_dir)[1])
+    return tables.scan_table(spark, _written(spark, sf_dir)[1], schema=schemas.PLACES)
 
 
 @_query()

@@ -134,7 +134,10 @@ def user_days(
     """Filtered, thinned pings per process day, coordinates in radians.
 
     Thinning comes before the expansion: a minute lies in one calendar day, so its best ping is
-    the same for both process days and needs ranking only once.
+    the same for both process days and needs ranking only once. Other granularities must divide the
+    overlap, so that no interval lies half inside it.
     """
+    if 86_400 % granularity_s or overlap_hours * 3600 % granularity_s:
+        raise ValueError(f"granularity_s={granularity_s} must divide a day and {overlap_hours} hours")
     kept = minute_dedup(select_ping_columns(accuracy_filter(pings, accuracy)), granularity_s)
     return to_radians(process_day_expand(kept.drop("accuracy"), overlap_hours))

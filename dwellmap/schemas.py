@@ -5,21 +5,6 @@ RAW = (
     "_c7 string, _c8 string"
 )
 
-PINGS = (
-    "timestamp timestamp, userId string, device tinyint, latitude double, longitude double, "
-    "accuracy double, offset int, opt1 string, opt2 string, source string"
-)
-
-DELIVERED = PINGS + ", year int, month int, day int, prefix string, delivery_day date"
-
-STOPS = (
-    "userId string, latitude double, longitude double, begin timestamp, end timestamp, "
-    "personal_area boolean, geohash6 string, prev_travelled_distance double, "
-    "after_stop_distance double, next_travelled_distance double, state string"
-)
-
-BIN_HOURS = "userId string, num_hours int, prefix string, year int, dayofyear int"
-
 VISITS = (
     "prefix string, userId string, clusterId int, begin timestamp, end timestamp, offset int, "
     "year int, dayofyear int"
@@ -30,8 +15,6 @@ PLACES = (
     "geohash7 string, state string"
 )
 
-STATE_LOOKUP = "STUSPS string, geohash string"
-TIMEZONE_LOOKUP = "geohash5 string, tzid string"
 INGEST_STATS = (
     "table_name string, count_line_input bigint, count_line_output bigint, "
     "start_time double, end_time double"

@@ -24,13 +24,6 @@ RUNTIME_CONF = {
 
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-SHUFFLE_BYTES_PER_TASK = 256 * 1024 * 1024
-
-
-def shuffle_partitions_for(input_bytes: int, at_least: int = 200) -> int:
-    """Shuffle partitions for an input size; adaptive execution merges the ones that stay small."""
-    return max(at_least, -(-input_bytes // SHUFFLE_BYTES_PER_TASK))
-
 
 def build_session(app_name: str = "dwellmap", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; extra settings are passed as ``key__with__dots=value``."""

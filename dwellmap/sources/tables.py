@@ -26,9 +26,15 @@ def scan_tsv(spark: SparkSession, path: str, delivery_day: str | None = None) ->
     return spark.read.schema(schema).option("sep", "\t").csv(path)
 
 
-def scan_table(spark: SparkSession, path: str, part_files_only: bool = False) -> DataFrame:
-    """A Hive-partitioned Parquet table; ``part_files_only`` skips files not named ``part-*.parquet``."""
-    reader = spark.read
+def scan_table(
+    spark: SparkSession, path: str, part_files_only: bool = False, schema: str | None = None
+) -> DataFrame:
+    """A Hive-partitioned Parquet table; ``part_files_only`` skips files not named ``part-*.parquet``.
+
+    With a ``schema``, such as those of ``dwellmap.schemas``, columns have its types instead of those
+    found in the first file, and no file has to be opened to plan the scan.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
     if part_files_only:
         reader = reader.option("pathGlobFilter", "part-*.parquet")
     return reader.parquet(path)
