@@ -27,6 +27,8 @@ _BAND_RATIO = 1.5
 _BLOCK_BITS = 256
 #: Members of a list that one task compares with each other at a time.
 _LIST_PART = 1024
+#: Bytes of a sketch that a list's members carry; long sketches are folded to that.
+_BRIEF = 128
 
 
 def max_difference(total: int, percent: int) -> int:
@@ -135,8 +137,9 @@ def _describe_all(percent: int, words: int):
                         pa.array(np.concatenate(keys).view(np.int64), pa.int64()),
                     ),
                     pa.array(sketches, pa.binary()),
+                    pa.array([_folded(s, _BRIEF).tobytes() for s in sketches], pa.binary()),
                 ],
-                ["id", "n", "d1", "d2", "keys", "sketch"],
+                ["id", "n", "d1", "d2", "keys", "sketch", "brief"],
             )
 
     return run
@@ -175,9 +178,9 @@ def _open_pairs(percent: int):
             two = one if other is None else other
             if not len(one) or not len(two):
                 continue
-            size = min(len(x.as_py()) for t in (one, two) for x in t["sketch"])
+            size = min(len(x.as_py()) for t in (one, two) for x in t["brief"])
             left, right = (
-                np.stack([_folded(x.as_py(), size) for x in t["sketch"]]) for t in (one, two)
+                np.stack([_folded(x.as_py(), size) for x in t["brief"]]) for t in (one, two)
             )
             n, m = one["n"].to_numpy(), two["n"].to_numpy()
             here, there = np.array(one["comp"].to_pylist()), np.array(two["comp"].to_pylist())
@@ -236,7 +239,7 @@ def near_groups(
     described = materialise(
         source.mapInArrow(
             _describe_all(percent, words),
-            f"id {name}, n long, d1 long, d2 long, keys array<long>, sketch binary",
+            f"id {name}, n long, d1 long, d2 long, keys array<long>, sketch binary, brief binary",
         )
     )
     group = ["n", "d1", "d2"]
@@ -247,7 +250,11 @@ def near_groups(
         classes.withColumnRenamed("rep", "id"), [*group, "id"], "left_semi"
     ).dropDuplicates(["id", *group])
     keyed = reps.select("id", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("c"), F.min("id").alias("hub")).where("c > 1")
+    # Written, so that the shuffles of the keys for counting and for joining don't stand side by side.
+    shared = materialise(
+        keyed.groupBy("key").agg(F.count("*").alias("c"), F.min("id").alias("hub")).where("c > 1")
+        .select("key", "hub")
+    )
     members = materialise(keyed.join(shared, "key").select("key", "id", "hub").distinct())
     ids = materialise(members.select("id").distinct())
     sketches = materialise(described.join(ids, "id", "left_semi").select("id", "n", "sketch"))
@@ -279,8 +286,23 @@ def near_groups(
     labelled = materialise(
         members.select("key", "id").join(component, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     )
-    spots = labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-    apart = labelled.join(spots.where("low <> high").select("key"), "key").join(sketches, "id")
+    # Lists of two were settled with their hub, and lists of the same members need one look.
+    name_sum, name_xor = F.xxhash64("id", F.lit(1)), F.xxhash64("id", F.lit(2))
+    lists = (
+        labelled.groupBy("key")
+        .agg(
+            F.count("*").alias("c"),
+            F.min("comp").alias("low"),
+            F.max("comp").alias("high"),
+            F.sum(F.shiftright(name_sum, 24)).alias("s"),
+            F.bit_xor(name_xor).alias("x"),
+        )
+        .where("c > 2 AND low <> high")
+        .groupBy("c", "s", "x")
+        .agg(F.min("key").alias("key"))
+    )
+    briefs = described.join(ids, "id", "left_semi").select("id", "n", "brief")
+    apart = labelled.join(materialise(lists.select("key")), "key").join(briefs, "id")
     pairs = deal_blocks(apart, _LIST_PART).mapInArrow(_open_pairs(percent), f"a {name}, b {name}")
     pairs = materialise(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     component = components(links.union(verified(pairs)))
