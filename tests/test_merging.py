@@ -7,7 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dwellmap.functions.timeline import by_span, with_neighbour, with_running_total
-from dwellmap.operators import merging
+from dwellmap.operators import merging, places
+from dwellmap.plans import mobility
 
 STOPS = (
     "userId string, state string, latitude double, longitude double, begin timestamp, end timestamp, "
@@ -114,3 +115,14 @@ def test_time_line_equals_plain_windows(spark):
     )
     seen = got.select("id", F.col("before.id").alias("before"), F.col("after.id").alias("after"), "total")
     assert sorted(seen.collect()) == sorted(want.collect())
+
+
+def test_flags_and_clusters_are_worked_out_once(spark, capsys):
+    data = [("aa01", "NY", 40.0, -75.0, dt.datetime(2024, 1, d, 12), dt.datetime(2024, 1, d, 13), 0.0, 0.0) for d in (1, 2, 3)]
+    stops = spark.createDataFrame(data, STOPS)
+    merging.merge_stops(stops).explain()
+    plan = capsys.readouterr().out
+    assert "lag(" not in plan and plan.count("sum(opens_group") >= 1
+    zones = spark.createDataFrame([], "geohash5 string, tzid string")
+    places.places(mobility.located_stops(stops, zones, how="left")).explain()
+    assert "ArrowEvalPython" not in capsys.readouterr().out
