@@ -28,7 +28,7 @@ _BLOCK_BITS = 256
 #: Members of a list that one task compares with each other at a time.
 _LIST_PART = 1024
 #: Bytes of a sketch that a list's members carry; long sketches are folded to that.
-_BRIEF = 128
+_BRIEF = 64
 
 
 def max_difference(total: int, percent: int) -> int:
@@ -256,24 +256,32 @@ def near_groups(
         .select("key", "hub")
     )
     members = materialise(keyed.join(shared, "key").select("key", "id", "hub").distinct())
-    ids = materialise(members.select("id").distinct())
-    sketches = materialise(described.join(ids, "id", "left_semi").select("id", "n", "sketch"))
-    sets = materialise(
-        source.join(ids, "id", "left_semi").mapInArrow(_sets(words), f"id {name}, tokens binary")
-    )
+    # The keys are the bulk of what was described, and done with.
+    slim = materialise(described.drop("keys"))
+    discard(described, shared)
+    described = slim
+    ids = members.select("id").distinct()
+    sketches = materialise(described.join(ids, "id", "left_semi").select("id", "n", "sketch", "brief"))
 
     def side(table: DataFrame, tag: str) -> DataFrame:
         return table.select(*[F.col(c).alias(tag if c == "id" else f"{tag}_{c}") for c in table.columns])
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sets are similar enough."""
-        sketched = pairs.join(side(sketches, "b"), "b").join(side(sketches, "a"), "a")
+        known = sketches.drop("brief")
+        sketched = pairs.join(side(known, "b"), "b").join(side(known, "a"), "a")
         room = materialise(
             sketched.where(_near(percent)("a_n", "a_sketch", "b_n", "b_sketch")).select("a", "b")
         )
+        close = room.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        sets = materialise(
+            source.join(close.hint("merge"), "id", "left_semi").mapInArrow(
+                _sets(words), f"id {name}, tokens binary"
+            )
+        )
         full = room.join(side(sets, "b"), "b").join(side(sets, "a"), "a")
         links = materialise(full.where(_similar(percent)("a_tokens", "b_tokens")).select("a", "b").distinct())
-        discard(room)
+        discard(room, sets)
         return links
 
     def components(links: DataFrame) -> DataFrame:
@@ -301,7 +309,7 @@ def near_groups(
         .groupBy("c", "s", "x")
         .agg(F.min("key").alias("key"))
     )
-    briefs = described.join(ids, "id", "left_semi").select("id", "n", "brief")
+    briefs = sketches.drop("sketch")
     apart = labelled.join(materialise(lists.select("key")), "key").join(briefs, "id")
     pairs = deal_blocks(apart, _LIST_PART).mapInArrow(_open_pairs(percent), f"a {name}, b {name}")
     pairs = materialise(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
