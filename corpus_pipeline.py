@@ -30,8 +30,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that stand on ten or more sites; no document goes."""
-    return line_dedup.remove_spread_lines(docs).select(docs.columns)
+    """Documents without the lines that stand on ten or more sites; no document goes, and texts copied as
+    a whole to ten or more sites are left to ``near_duplicates``."""
+    return line_dedup.remove_spread_lines(docs, max_share=None).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

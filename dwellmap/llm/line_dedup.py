@@ -26,6 +26,26 @@ def _key(line: Column) -> Column:
     return F.unhex(F.md5(_trimmed(line)))
 
 
+def _whole(text: str) -> Column:
+    """MD5 of a text's trimmed lines, null if fewer than two of them are filled."""
+    lines = F.filter(F.transform(_lines(text), _trimmed), lambda x: F.length(x) > 0)
+    return F.when(F.size(lines) > 1, F.unhex(F.md5(F.array_join(lines, "\n"))))
+
+
+def copied_texts(docs: DataFrame, min_sites: int = 10, text: str = "text", site: str = "source") -> DataFrame:
+    """Keys of the texts of several lines that stand as a whole on at least ``min_sites`` distinct sites."""
+    return materialise(
+        docs.select(_whole(text).alias("key"), F.col(site).cast("string").alias("site"))
+        .where("key IS NOT NULL AND site IS NOT NULL")
+        .groupBy("key", "site")
+        .agg(F.lit(1).alias("one"))
+        .groupBy("key")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") >= min_sites)
+        .select("key")
+    )
+
+
 def spread_lines(
     docs: DataFrame,
     min_sites: int = 10,
@@ -70,7 +90,7 @@ def remove_spread_lines(
     docs: DataFrame,
     min_sites: int = 10,
     min_chars: int = 12,
-    max_share: float = 0.5,
+    max_share: float | None = 0.5,
     id_column: str = "doc_id",
     text: str = "text",
     site: str = "source",
@@ -79,7 +99,9 @@ def remove_spread_lines(
 
     Adds ``n_lines`` (non-blank lines before) and ``n_removed``. A document in which such lines hold
     more than ``max_share`` of the characters is itself a widely copied text and is left as it is:
-    choosing among copies is the business of document deduplication. Null text stays null; rows that
+    choosing among copies is the business of document deduplication. With ``max_share=None`` the share
+    doesn't matter: only a text of several lines that stands as a whole on ``min_sites`` or more sites
+    is a copied one, and all others lose such lines, if need be all they have. Null text stays null; rows that
     repeat an id are handled alike, and a null id is an id of its own. ``n_chars``, if there, is
     brought up to date. All other columns stay as they are.
 
@@ -87,22 +109,24 @@ def remove_spread_lines(
     with the number of documents that share a line.
     """
     spread = spread_lines(docs, min_sites, min_chars, text, site)
-    found = (
-        docs.select(
-            F.col(id_column).alias("__id"),
-            F.explode(
-                F.array_distinct(
-                    F.transform(
-                        F.filter(_lines(text), lambda x: F.length(_trimmed(x)) >= min_chars), _key
-                    )
+    found = docs.select(
+        F.col(id_column).alias("__id"),
+        F.explode(
+            F.array_distinct(
+                F.transform(
+                    F.filter(_lines(text), lambda x: F.length(_trimmed(x)) >= min_chars), _key
                 )
-            ).alias("key"),
-        )
-        .join(spread, "key")
-        .groupBy("__id")
-        .agg(F.collect_set("key").alias("__drop"))
-    )
-    found = materialise(found)
+            )
+        ).alias("key"),
+    ).join(spread, "key")
+    sets = [F.collect_set("key").alias("__drop")]
+    if max_share is None:
+        # Per id as well, as rows that share an id, such as null, need not share their text.
+        wholes = docs.select(F.col(id_column).alias("__id"), _whole(text).alias("key"))
+        copies = wholes.join(copied_texts(docs, min_sites, text, site), "key").select("__id", F.col("key").alias("whole"))
+        found = found.unionByName(copies, allowMissingColumns=True)
+        sets.append(F.collect_set("whole").alias("__copied"))
+    found = materialise(found.groupBy("__id").agg(*sets))
     # The same plan at every size: texts are dealt by id whether or not few documents are affected.
     joined = docs.join(found.hint("merge"), docs[id_column].eqNullSafe(found["__id"]), "left")
 
@@ -116,10 +140,12 @@ def remove_spread_lines(
     worked = joined.withColumn(
         "__kept",
         F.when(F.col("__drop").isNotNull(), F.filter(lines, lambda x: ~spread_line(x))),
-    ).withColumn(
-        "__kept",
-        F.when(chars(F.col("__kept")) >= (1 - max_share) * chars(lines), F.col("__kept")),
     )
+    if max_share is None:
+        removable = ~F.coalesce(F.array_contains("__copied", _whole(text)), F.lit(False))
+    else:
+        removable = chars(F.col("__kept")) >= (1 - max_share) * chars(lines)
+    worked = worked.withColumn("__kept", F.when(removable, F.col("__kept")))
 
     def filled(of: Column) -> Column:
         return F.size(F.filter(of, lambda x: F.length(_trimmed(x)) > 0)).cast("long")

@@ -1,5 +1,6 @@
 import hashlib
 
+import corpus_pipeline
 from dwellmap.llm import exact_dedup, line_dedup, mixing
 from dwellmap.session import scratch_path
 
@@ -58,6 +59,32 @@ def test_line_dedup(spark):
     assert line_dedup.remove_spread_lines(docs(spark, [])).collect() == []
 
 
+def test_only_texts_copied_as_a_whole_are_left(spark):
+    copied = "the first line of a copied text\nthe second line of a copied text\nits end"
+    rows = [(i, copied + "  ", f"site{i}") for i in range(10)]
+    rows += [(10 + i, f"own {i}\n{BOILER}", f"site{i}") for i in range(12)]
+    rows += [(30, BOILER, "site1"), (31, None, "site1"), (32, "", None)]
+    rows += [(40, f"two sites have\n{BOILER}", "site1"), (41, f"two sites have\n{BOILER}", "site2")]
+    rows += [(50, copied + "\nand more", "site1"), (51, copied, None)]
+    rows += [(None, copied, "site1"), (None, f"x\n{BOILER}", "site2")]
+    got = line_dedup.remove_spread_lines(docs(spark, rows), max_share=None).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: (r.text, r.n_removed) for r in got}
+    assert all(by_id[i] == (copied + "  ", 0) for i in range(10)) and by_id[51] == (copied, 0)
+    assert all(by_id[10 + i] == (f"own {i}", 1) for i in range(12))
+    assert by_id[30] == ("", 1) and by_id[31] == (None, 0) and by_id[32] == ("", 0)
+    assert by_id[40] == by_id[41] == ("two sites have", 1)
+    assert by_id[50] == ("its end\nand more", 2)
+    assert {r.text for r in got if r.doc_id is None} == {copied, "x"}
+
+
+def test_pipeline_takes_spread_lines_from_short_documents(spark):
+    rows = [(i, f"own {i}\n{BOILER}", "en", f"site{i}", 0) for i in range(12)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.line_dedup_stage(spark, table, "").collect()
+    assert {(r.doc_id, r.text, r.n_chars) for r in got} == {(i, f"own {i}", len(f"own {i}")) for i in range(12)}
+
+
 def test_threshold_is_exact(spark):
     rows = [(s * 100 + n, f"line seen on {n} sites", f"site{s}") for n in (8, 9, 10, 11, 12) for s in range(n)]
     rows += [(90_000 + i, "line seen on 9 sites", None) for i in range(50)]
