@@ -153,10 +153,11 @@ def train(
     text: str = "text",
     lang: str = "lang",
     sample_per_language: int = 500,
-    max_languages: int = 100,
+    sample_texts: int = 50_000,
 ) -> Model:
-    """Learn from a bounded sample: at most ``sample_per_language`` distinct labelled texts of each of
-    the ``max_languages`` most frequent languages, taken by the order of a hash.
+    """Learn every language found from a bounded sample: at most ``sample_per_language`` distinct labelled
+    texts of each, taken by the order of a hash; fewer where so many would be more than ``sample_texts``
+    in all, but never none.
 
     Only the features of the sample, 13 KB a text whatever its length, come to the driver.
     """
@@ -164,6 +165,8 @@ def train(
         F.col(lang).cast("string").alias("lang"),
         F.col(text).cast("string").alias("text"),
     )
+    found = usable.select("lang").distinct().count()
+    most = max(1, min(sample_per_language, sample_texts // max(found, 1)))
     keyed = usable.withColumn("h", F.xxhash64("text"))
     # Hashes fall into 32 bands an octave; bands are taken from the lowest while the sample has room.
     share = F.shiftrightunsigned("h", 1).cast("double") / F.lit(2.0**63) + F.lit(2.0**-63)
@@ -176,13 +179,8 @@ def train(
         .agg(F.count("*").alias("n"))
         .withColumn("upto", upto)
         .groupBy("lang")
-        .agg(
-            F.max(F.when(F.col("upto") <= sample_per_language, F.col("band"))).alias("limit"),
-            F.sum("n").alias("n"),
-        )
-        .where("limit IS NOT NULL")
-        .orderBy(F.desc("n"), "lang")
-        .limit(max_languages)
+        # The lowest band, of about one text, is always taken.
+        .agg(F.coalesce(F.max(F.when(F.col("upto") <= most, F.col("band"))), F.min("band")).alias("limit"))
         .collect()
     )
     languages = sorted(r["lang"] for r in limits)

@@ -50,6 +50,15 @@ def test_edge_rows(spark):
     assert {(r.lang_pred, r.score) for r in single} == {("de", 1.0)}
 
 
+def test_every_language_is_learned(spark):
+    words = {f"l{i:03}": "".join(chr(97 + (i * k + k * k) % 26) for k in range(1, 13)) for i in range(130)}
+    rows = [(i * 10 + j, f"{w} {w} {j * '.'}", lang) for i, (lang, w) in enumerate(words.items()) for j in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.train(docs).languages == sorted(words)
+    model = langid.train(docs, sample_texts=2)
+    assert model.languages == sorted(words)
+
+
 def test_features_do_not_depend_on_neighbours():
     texts = ["abc def", None, "ü", "x" * 3_000_000, "abc def"]
     rows = np.concatenate(list(langid.features(pa.array(texts))))
