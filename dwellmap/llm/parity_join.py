@@ -27,7 +27,7 @@ _BAND_RATIO = 1.5
 _BLOCK_BITS = 256
 #: Members of a list that one task compares with each other at a time.
 _LIST_PART = 1024
-#: Bytes of a sketch that a list's members carry; long sketches are folded to that.
+#: Least bytes of a sketch that a list's members carry; longer sketches are folded.
 _BRIEF = 64
 
 
@@ -98,6 +98,15 @@ def describe(tokens: np.ndarray, percent: int) -> tuple[int, int, np.ndarray, by
     return first, second, np.concatenate(keys) if keys else np.zeros(0, np.uint64), sketch
 
 
+def _brief_size(n: int, percent: int) -> int:
+    """Bytes to which the sketch of ``n`` shingles is folded: at least four bits for each one in which a
+    similar pair may differ, as unrelated sketches differ in up to half of their bits."""
+    size = _BRIEF
+    while size * 2 < max_difference(n + 100 * n // percent, percent):
+        size *= 2
+    return size
+
+
 def _folded(sketch: bytes, size: int) -> np.ndarray:
     """A sketch as 64-bit words, folded to ``size`` bytes.
 
@@ -137,7 +146,7 @@ def _describe_all(percent: int, words: int):
                         pa.array(np.concatenate(keys).view(np.int64), pa.int64()),
                     ),
                     pa.array(sketches, pa.binary()),
-                    pa.array([_folded(s, _BRIEF).tobytes() for s in sketches], pa.binary()),
+                    pa.array([_folded(s, _brief_size(m, percent)).tobytes() for m, s in zip(n, sketches, strict=True)], pa.binary()),
                 ],
                 ["id", "n", "d1", "d2", "keys", "sketch", "brief"],
             )

@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -100,3 +101,17 @@ def test_similar_sets_share_a_block(seed, size, percent):
     assert np.intersect1d(x[2], y[2]).size
     distance = parity_join.sketch_distance(x[3], y[3])
     assert distance <= len(a) + len(b) - 2 * both
+
+
+def test_long_texts_of_a_list_are_told_apart_by_their_sketches():
+    rng = np.random.default_rng(5)
+    for percent, n in ((80, 1500), (80, 9000), (90, 4000), (90, 30_000)):
+        sets = [rng.integers(0, 1 << 63, n).astype(np.uint64) for _ in range(12)]
+        sets.append(np.concatenate([sets[0][: n - n // 50], sets[1][: n // 50]]))
+        texts = [" ".join(f"{x:x}" for x in tokens) for tokens in sets]
+        batch = pa.RecordBatch.from_arrays([pa.array(range(13)), pa.array(texts)], ["id", "text"])
+        described = pa.Table.from_batches(parity_join._describe_all(percent, 1)(iter([batch])))
+        parts = {"key": [7] * 13, "i": [0] * 13, "j": [0] * 13, "side": [0] * 13, "comp": list(range(13))}
+        members = pa.table(parts | {c: described[c].combine_chunks() for c in ("id", "n", "brief")})
+        pairs = pa.Table.from_batches(parity_join._open_pairs(percent)(iter(members.to_batches())))
+        assert pairs.to_pylist() == [{"a": 0, "b": 12}]
