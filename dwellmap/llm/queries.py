@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellmap.llm import exact_dedup, html_blocks, langid, line_dedup, mixing, ordinal_quality
-from dwellmap.llm import packing, parity_join, pivot_dedup, suffix_dedup
+from dwellmap.llm import packing, parity_join, pivot_dedup, runs, spelling, suffix_dedup, token_files
+from dwellmap.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +85,30 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), path, ranks=ranks)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(_table(spark, sf_dir, "documents"), rewrite=runs.continued)
+    return found.select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"
+    )
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = token_files.write_token_files(
+        _table(spark, sf_dir, "documents"),
+        scratch_path(spark, "tokens"),
+        public_tokenizers.path("word_bpe_49k.json"),
+        end_id=2,
+    )
+    return files.documents().withColumnRenamed("id", "doc_id")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling.word_counts(_table(spark, sf_dir, "documents"), rewrite=spelling.misspelt)
+    return spelling.variant_groups(counts)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_vectors": op1_near_vectors,
     "op2_html_text": op2_html_text,
@@ -95,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_packing": op10_packing,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_files": op12_token_files,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
