@@ -34,18 +34,21 @@ from dwellmap.session import prepare
 
 #: Bytes of text in a shard, about.
 SHARD_BYTES = 64 << 20
-_CACHED_WORDS = 200_000
-_CACHED_BYTES = 4_000_000
+#: Words whose ids a task keeps, the first it meets: frequent words are among them.
+_CACHED_WORDS = 400_000
+_CACHED_LENGTH = 48
 _ROWS = 8192
 
 MANIFEST = "shard long, name string, n_docs long, n_tokens long, width int"
 
 
 class WordwiseTokenizer:
-    """Ids of whole texts, for tokenizers that drop white space and never join what stands on two sides of it.
+    """Ids of whole texts, for tokenizers that drop white space, never join what stands on two sides of it,
+    and part letters from marks behind them (``is_wordwise``).
 
-    Such a tokenizer gives a text the ids of its words one after the other, so a word met before need not be
-    encoded again. ``width`` is the number of bytes of an id.
+    Such a tokenizer gives a text the ids of its words one after the other, so words met before need not be
+    encoded again. ``width`` is the number of bytes of an id. Texts with the name of a special token are
+    encoded whole.
     """
 
     def __init__(self, path: str, width: int):
@@ -53,33 +56,58 @@ class WordwiseTokenizer:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._special = [t.content.encode().lower() for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._kind = "H" if width == 2 else "I"
         self._known: dict[bytes, bytes] = {}
-        self._held = 0
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array(self._kind, e.ids).tobytes() for e in found]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian integers."""
-        words = text.encode().split()
+        data = text.encode()
+        # Small and capital letters are alike, but not below combining marks: some letters have a composed
+        # form in one case only, and forms are composed before the tokenizer changes the case.
+        low = data if b"\xcc" in data or b"\xcd" in data else data.lower()
+        if any(s in low for s in self._special) or not low:
+            return self._ids([text])[0]
+        words = low.split()
         known = self._known
         new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) + len(new) > _CACHED_WORDS or self._held > _CACHED_BYTES:
-                known.clear()
-                self._held = 0
-                new = list(set(words))
-            found = self._tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            for word, ids in zip(new, found, strict=True):
-                known[word] = array(self._kind, ids.ids).tobytes()
-                self._held += len(word)
-        return b"".join([known[w] for w in words])
-
-
-def _is_wordwise(tokenizer) -> bool:
-    """Whether pieces between ASCII white space are encoded alike alone and in a text."""
-    sample = ["Some words' l'eau, 12.5%", "été مرحبا 你好", "a", "i'm -- x_y"]
-    whole = tokenizer.encode("  " + " \n\t ".join(sample) + " ", add_special_tokens=False).ids
-    parts = [i for w in " ".join(sample).split() for i in tokenizer.encode(w, add_special_tokens=False).ids]
-    return whole == parts
+        if not new:
+            return b"".join([known[w] for w in words])
+        parts = {w: _parted(w) for w in new}
+        pieces = [p for p in {p for both in parts.values() for p in both} if p not in known]
+        ids = dict(zip(pieces, self._ids([p.decode() for p in pieces]), strict=True))
+        room = _CACHED_WORDS - len(known)
+        if room > 0:
+            known.update((p, v) for p, v in ids.items() if len(p) <= _CACHED_LENGTH)
+        for word, both in parts.items():
+            if len(both) == 2:
+                ids[word] = b"".join([ids[p] if p in ids else known[p] for p in both])
+                if room > _CACHED_WORDS // 2:
+                    known[word] = ids[word]
+        return b"".join([ids[w] if w in ids else known[w] for w in words])
+
+
+def _parted(word: bytes) -> tuple[bytes, ...]:
+    """A word of Latin letters and the punctuation behind it, or the word as it is."""
+    body = word.rstrip(b".,;:!?")
+    if body and len(body) < len(word):
+        letters = body.decode()
+        if letters.isalpha() and max(letters) < "\u0250":
+            return body, word[len(body) :]
+    return (word,)
+
+
+def is_wordwise(tokenizer) -> bool:
+    """Whether a tokenizer treats samples as ``WordwiseTokenizer`` does: white space is dropped and parts, so
+    do marks behind letters, and case doesn't matter."""
+    sample = ["some words' l'eau, 12.5%", "été?! مرحبا 你好", "a", "i'm -- x_y..."]
+    whole = tokenizer.encode("  " + " \n\t ".join(sample).upper() + " ", add_special_tokens=False).ids
+    parts = [p.decode() for w in " ".join(sample).encode().split() for p in _parted(w)]
+    return whole == [i for p in parts for i in tokenizer.encode(p, add_special_tokens=False).ids]
 
 
 def _store(uri: str) -> tuple[FileSystem, str]:
@@ -183,7 +211,7 @@ def write_token_files(
         .select("id", "text")
     )
     written = ordered.mapInArrow(
-        _write_shards(path, tokenizer_path, end_id, width, _is_wordwise(tokenizer)), MANIFEST
+        _write_shards(path, tokenizer_path, end_id, width, is_wordwise(tokenizer)), MANIFEST
     )
     written.write.parquet(f"{path}/counts")
     # One row a shard; the sum over those before is all that needs an order.

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from dwellmap.llm.queries import op12_token_files
-from dwellmap.llm.token_files import TokenFiles, WordwiseTokenizer, _is_wordwise, write_token_files
+from dwellmap.llm.token_files import TokenFiles, WordwiseTokenizer, is_wordwise, write_token_files
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,11 +27,11 @@ def wordwise():
     return WordwiseTokenizer(PATH, 2)
 
 
-LETTERS = "aAbéÉ \t\n\x0b\x0c\x1c\x1f\x85\xa0'’stm12.,-́ͅẞ　​ßİiΣσς你好🙂ſﬁ\x00"
+LETTERS = "HhJjSsTtWwYyİ̱̌̇̈̊?!;:aAbéÉ \t\n\x0b\x0c\x1c\x1f\x85\xa0'’stm12.,-́ͅẞ　​ßİiΣσς你好🙂ſﬁ\x00"
 
 
-@settings(max_examples=500, deadline=None)
-@given(st.lists(st.one_of(st.text(LETTERS, max_size=12), st.just("<|endoftext|>"), st.text(max_size=6)), max_size=6))
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.one_of(st.text(LETTERS, max_size=12), st.sampled_from(["<|endoftext|>", "<|EndOfText|>", "Word,", "Éa?!", "ǅ.", "ɐ."]), st.text(max_size=6)), max_size=6))
 def test_word_by_word_is_the_tokenizer(whole, wordwise, parts):
     for text in (" ".join(parts), "".join(parts)):
         ids = np.frombuffer(wordwise.encode(text), "<u2").tolist()
@@ -39,7 +39,7 @@ def test_word_by_word_is_the_tokenizer(whole, wordwise, parts):
 
 
 def test_only_for_tokenizers_that_drop_white_space(whole):
-    assert _is_wordwise(whole) and not _is_wordwise(Tokenizer.from_file(BYTES))
+    assert is_wordwise(whole) and not is_wordwise(Tokenizer.from_file(BYTES))
 
 
 def table(rows, encode, end_id):
