@@ -18,8 +18,8 @@ REQUIRED_CONF = {
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Rows sent to Python are whole trajectories or stop lists, so batches are kept short.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # Rows sent to Python may be whole texts, trajectories or stop lists, so batches are bounded in bytes.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
