@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwellmap.llm.texthash import chunks
+from dwellmap.session import prepare
 
 UNKNOWN = "und"
 _BIGRAMS, _TRIGRAMS = 1024, 2048
@@ -215,8 +216,11 @@ def identify(
     ``score`` is the winner's share of exp(-loss) over all codewords. ``ambiguous`` marks a lead of
     less than ``min_lead`` over the second. Null texts and texts without a letter are ``und`` with
     score 0, and so is everything if no language was learned. Columns with these names are replaced.
+    ``text`` may be a field of a struct column.
     """
 
+    prepare(docs.sparkSession)
+
     @F.arrow_udf("struct<best int, score double, lead double>")
     def judge(texts: pa.Array) -> pa.Array:
         parts = [model.decode(block) for block in features(texts)]
