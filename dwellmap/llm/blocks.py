@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def deal_blocks(members: DataFrame, block: int) -> DataFrame:
+def deal_blocks(members: DataFrame, block: int, load: DataFrame | None = None) -> DataFrame:
     """Give the members (key, id, ...) of every list to comparisons of two blocks.
 
     A list is cut into blocks of about ``block`` members by a hash; every pair of blocks, and every
     block with itself, is one comparison (key, i, j) with i <= j. ``side`` is 0 for the members of
     block i and 1 for those of block j. A list of usual length is one comparison. The rows of a
-    comparison come together, sorted, in one partition.
+    comparison come together, sorted, in one partition. ``load`` holds wide columns by ``id``; they
+    join once everything else is settled, so that they move once only.
     """
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int")
@@ -32,9 +34,36 @@ def deal_blocks(members: DataFrame, block: int) -> DataFrame:
         )
         .drop("blocks", "own", "other")
     )
+    if load is not None:
+        dealt = dealt.join(load, "id")
     return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "id")
 
 
+def whole_comparisons(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole comparisons, one after another, and where each begins (and the last ends)."""
+    held: list[pa.RecordBatch] = []
+
+    def starts(table: pa.Table) -> np.ndarray:
+        changes = np.zeros(max(len(table) - 1, 0), bool)
+        for name in ("key", "i", "j"):
+            column = table[name].to_numpy()
+            changes |= column[1:] != column[:-1]
+        return np.concatenate([[0], np.flatnonzero(changes) + 1, [len(table)]])
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        table = pa.Table.from_batches(held).combine_chunks()
+        bounds = starts(table)
+        if len(bounds) > 2:
+            yield table.slice(0, bounds[-2]), bounds[:-1]
+            held = table.slice(bounds[-2]).to_batches()
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, starts(table)
+
+
 def comparisons(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, pa.Table | None]]:
     """The two blocks of each comparison, as tables; None for the second if a block meets itself."""
     held: list[pa.RecordBatch] = []

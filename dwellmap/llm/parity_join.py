@@ -19,16 +19,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellmap.functions.graph import connected_components
-from dwellmap.llm.blocks import comparisons, deal_blocks
+from dwellmap.llm.blocks import deal_blocks, whole_comparisons
 from dwellmap.llm.texthash import mix, shingle_sets
-from dwellmap.session import discard, materialise
+from dwellmap.session import discard, materialise, prepare
 
 _BAND_RATIO = 1.5
 _BLOCK_BITS = 256
 #: Members of a list that one task compares with each other at a time.
 _LIST_PART = 1024
 #: Least bytes of a sketch that a list's members carry; longer sketches are folded.
-_BRIEF = 64
+_BRIEF = 8
+#: Parts in which keys are counted and joined, one after another, so that less stands on disk at a time.
+_KEY_PARTS = 2
+#: Pairs whose sketches are compared at a time, at most.
+_PAIRS = 1 << 15
 
 
 def max_difference(total: int, percent: int) -> int:
@@ -99,10 +103,10 @@ def describe(tokens: np.ndarray, percent: int) -> tuple[int, int, np.ndarray, by
 
 
 def _brief_size(n: int, percent: int) -> int:
-    """Bytes to which the sketch of ``n`` shingles is folded: at least four bits for each one in which a
-    similar pair may differ, as unrelated sketches differ in up to half of their bits."""
+    """Bytes to which the sketch of ``n`` shingles is folded: at least three bits for each one in which a
+    similar pair may differ, as unrelated sketches differ in about half of their bits."""
     size = _BRIEF
-    while size * 2 < max_difference(n + 100 * n // percent, percent):
+    while size * 8 < 3 * max_difference(n + 100 * n // percent, percent):
         size *= 2
     return size
 
@@ -179,32 +183,92 @@ def _near(percent: int):
     return near
 
 
+def _candidates(bounds: np.ndarray, side: np.ndarray, comp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one comparison in different components, a bounded number at a time.
+
+    All comparisons step together: a row meets the one k places on, for k = 1, 2, ... In a comparison of
+    two blocks, only rows of different sides meet.
+    """
+    ends = np.repeat(bounds[1:], np.diff(bounds))
+    mixed = np.repeat(np.add.reduceat(side, bounds[:-1]) > 0, np.diff(bounds)) if len(side) else side
+    rows, k = np.arange(len(ends)), 0
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0
+    while True:
+        k += 1
+        rows = rows[rows + k < ends[rows]]
+        if not len(rows):
+            break
+        other = rows + k
+        meets = comp[rows] != comp[other]
+        meets &= ~mixed[rows] | (side[rows] != side[other])
+        if meets.any():
+            held.append((rows[meets], other[meets]))
+            waiting += len(held[-1][0])
+        if waiting > _PAIRS:
+            yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
+            held, waiting = [], 0
+    if held:
+        yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
+
+
+class _Briefs:
+    """The folded sketches of many rows, as matrices by size."""
+
+    def __init__(self, briefs: pa.ChunkedArray):
+        raw = [b.as_py() for b in briefs]
+        self.size = np.array([len(b) for b in raw], np.int64)
+        self._by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in np.unique(self.size).tolist():
+            rows = np.flatnonzero(self.size == size)
+            words = np.frombuffer(b"".join([raw[r] for r in rows.tolist()]), np.uint64)
+            self._by_size[size] = rows, words.reshape(len(rows), -1)
+        self._folded: dict[int, np.ndarray] = {}
+
+    def at(self, size: int) -> np.ndarray:
+        """Sketches of ``size`` bytes by row; rows with smaller ones are blank."""
+        if size not in self._folded:
+            out = np.zeros((len(self.size), size // 8), np.uint64)
+            for own, (rows, words) in self._by_size.items():
+                while own > size:
+                    half = words.shape[1] // 2
+                    words, own = words[:, :half] ^ words[:, half:], own // 2
+                if own == size:
+                    out[rows] = words
+            self._folded[size] = out
+        return self._folded[size]
+
+    def distances(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(a), np.int64)
+        size = np.minimum(self.size[a], self.size[b])
+        for one in np.unique(size).tolist():
+            words = self.at(one)
+            here = np.flatnonzero(size == one)
+            step = max(1, (1 << 22) // one)
+            for i in range(0, len(here), step):
+                at = here[i : i + step]
+                out[at] = np.bitwise_count(words[a[at]] ^ words[b[at]]).sum(axis=1, dtype=np.int64)
+        return out
+
+
 def _open_pairs(percent: int):
     """Pairs of a list's members in different components whose sketches leave room."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for one, other in comparisons(batches):
-            two = one if other is None else other
-            if not len(one) or not len(two):
-                continue
-            size = min(len(x.as_py()) for t in (one, two) for x in t["brief"])
-            left, right = (
-                np.stack([_folded(x.as_py(), size) for x in t["brief"]]) for t in (one, two)
-            )
-            n, m = one["n"].to_numpy(), two["n"].to_numpy()
-            here, there = np.array(one["comp"].to_pylist()), np.array(two["comp"].to_pylist())
-            rows: list[np.ndarray] = []
-            columns: list[np.ndarray] = []
-            for row in range(len(left)):
-                start = row + 1 if other is None else 0
-                near = np.flatnonzero(here[row] != there[start:]) + start
-                apart = np.bitwise_count(left[row] ^ right[near]).sum(axis=1, dtype=np.int64)
-                near = near[apart <= (n[row] + m[near]) * (100 - percent) // (100 + percent)]
-                rows.append(np.full(len(near), row))
-                columns.append(near)
-            at, to = pa.array(np.concatenate(rows)), pa.array(np.concatenate(columns))
-            a, b = (t["id"].combine_chunks().take(x) for t, x in ((one, at), (two, to)))
-            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
+        for table, bounds in whole_comparisons(batches):
+            briefs, n = _Briefs(table["brief"]), table["n"].to_numpy()
+            comp = table["comp"].combine_chunks().dictionary_encode().indices.to_numpy()
+            ids = table["id"].combine_chunks()
+            for a, b in _candidates(bounds, table["side"].to_numpy(), comp):
+                room = (n[a] + n[b]) * (100 - percent) // (100 + percent)
+                # Sizes alone differ in no more than that.
+                close = np.abs(n[a] - n[b]) <= room
+                a, b, room = a[close], b[close], room[close]
+                near = briefs.distances(a, b) <= room
+                if near.any():
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array(a[near])), ids.take(pa.array(b[near]))], ["a", "b"]
+                    )
 
     return run
 
@@ -243,6 +307,7 @@ def near_groups(
     components are thus those of all links, without listing them. Rows with a null id link with
     nothing; rows that repeat an id are one document.
     """
+    prepare(docs.sparkSession)
     name = docs.schema[id_column].dataType.simpleString()
     source = docs.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text"))
     described = materialise(
@@ -258,16 +323,23 @@ def near_groups(
     reps = described.join(
         classes.withColumnRenamed("rep", "id"), [*group, "id"], "left_semi"
     ).dropDuplicates(["id", *group])
-    keyed = reps.select("id", F.explode("keys").alias("key"))
-    # Written, so that the shuffles of the keys for counting and for joining don't stand side by side.
-    shared = materialise(
-        keyed.groupBy("key").agg(F.count("*").alias("c"), F.min("id").alias("hub")).where("c > 1")
-        .select("key", "hub")
-    )
-    members = materialise(keyed.join(shared, "key").select("key", "id", "hub").distinct())
+    parts = []
+    for part in range(_KEY_PARTS):
+        own = F.expr(f"filter(keys, k -> pmod(k, {_KEY_PARTS}) = {part})")
+        keyed = reps.select("id", F.explode(own).alias("key"))
+        # Written, so that the shuffles of the keys for counting and for joining don't stand side by side.
+        shared = materialise(
+            keyed.groupBy("key").agg(F.count("*").alias("c"), F.min("id").alias("hub")).where("c > 1")
+            .select("key", "hub")
+        )
+        parts.append(materialise(keyed.join(shared, "key").select("key", "id", "hub").distinct()))
+        discard(shared)
+    members = parts[0]
+    for part in parts[1:]:
+        members = members.unionByName(part)
     # The keys are the bulk of what was described, and done with.
     slim = materialise(described.drop("keys"))
-    discard(described, shared)
+    discard(described)
     described = slim
     ids = members.select("id").distinct()
     sketches = materialise(described.join(ids, "id", "left_semi").select("id", "n", "sketch", "brief"))
@@ -318,9 +390,8 @@ def near_groups(
         .groupBy("c", "s", "x")
         .agg(F.min("key").alias("key"))
     )
-    briefs = sketches.drop("sketch")
-    apart = labelled.join(materialise(lists.select("key")), "key").join(briefs, "id")
-    pairs = deal_blocks(apart, _LIST_PART).mapInArrow(_open_pairs(percent), f"a {name}, b {name}")
+    apart = materialise(labelled.join(lists.select("key"), "key"))
+    pairs = deal_blocks(apart, _LIST_PART, sketches.drop("sketch")).mapInArrow(_open_pairs(percent), f"a {name}, b {name}")
     pairs = materialise(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     component = components(links.union(verified(pairs)))
     resolved = materialise(
