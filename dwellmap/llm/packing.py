@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -18,13 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dwellmap.session import prepare
+
 #: Documents in a group, on average.
 GROUP_DOCS = 2048
 #: A sequence with less room than this is padded; one with more is cut into powers of two instead.
 MAX_PADDING = 32
-_CACHED_WORDS = 600_000
-_CACHED_CHARS = 16_000_000
+#: Words whose ids a task keeps, the first it meets: frequent words are among them.
+_CACHED_WORDS = 300_000
+_CACHED_LENGTH = 48
 _TEXT_BYTES = 1 << 22
+_SPACE_IN_SPACE = re.compile(r"[^\S ] [^\S ]")
 
 PIECES = (
     "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -36,22 +41,24 @@ class _Words(dict):
 
     def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
-        self.encode, self.chars = encode, 0
+        self.encode = encode
 
     def __missing__(self, word: str) -> bytes:
-        self[word] = found = self.encode(" " + word)
-        self.chars += len(word)
+        found = self.encode(" " + word)
+        if len(self) < _CACHED_WORDS and len(word) <= _CACHED_LENGTH:
+            self[word] = found
         return found
 
 
 class WordTokenizer:
     """Token ids of whole texts, with the ids of words kept for reuse.
 
-    The byte-level pre-tokenizer always splits before a single space that stands between two other
-    characters, so pieces between such spaces can be encoded alone. New pieces are encoded with
+    The byte-level pre-tokenizer always splits before a single space, unless white space stands on both
+    sides of it, so pieces between such spaces can be encoded alone. New pieces are encoded with
     ``ranks``, a file of the same vocabulary as ranks with its split pattern, which gives the same
     ids several times faster, or else by the tokenizer itself. Texts with empty pieces (repeated or
-    outer spaces), or with the name of a special token, are given to the tokenizer whole.
+    outer spaces), with other white space on both sides of a space, or with the name of a special token
+    are given to the tokenizer whole.
     """
 
     def __init__(self, path: str, ranks: tuple[str, str] | None = None):
@@ -79,14 +86,11 @@ class WordTokenizer:
     def ids(self, text: str) -> np.ndarray:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         pieces = text.split(" ")
-        if "" in pieces or any(t in text for t in self._special):
+        if "" in pieces or _SPACE_IN_SPACE.search(text) or any(t in text for t in self._special):
             return np.frombuffer(self._whole(text), "<u4")
         first = self._piece(pieces[0])
         del pieces[0]
         known = self._known
-        if len(known) > _CACHED_WORDS or known.chars > _CACHED_CHARS:
-            known.clear()
-            known.chars = 0
         rest = [known[p] for p in pieces]
         return np.frombuffer(first + b"".join(rest), "<u4")
 
@@ -248,6 +252,7 @@ def pack(
     of ids per document. Rows that repeat a document are packed each. ``ranks``: see
     ``WordTokenizer``; both files must be at the same path on every executor.
     """
+    prepare(docs.sparkSession)
     groups = max(1, -(-docs.count() // group_docs))
     source = docs.select(
         F.col(id_column).alias("id"),

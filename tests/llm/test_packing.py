@@ -30,7 +30,7 @@ def test_word_cache_gives_the_tokenizers_ids(text):
 
 def test_texts_of_the_table_and_special_names(spark):
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(300).collect()]
-    texts += ["a <|endoftext|> b", "<|endoftext|>", "x" * 100_000, "é\u2009ü  z", "\ud7ff\U0001f600 it's 'S 12a"]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "x" * 100_000, "é\u2009ü  z", "1 \xa0 \xa0", "a\n \nb", "a\t \t", "\ud7ff\U0001f600 it's 'S 12a"]
     for text in texts:
         assert OURS.ids(text).tolist() == plain(text)
 
