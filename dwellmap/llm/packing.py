@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellmap.session import prepare
+from dwellmap.session import materialise, prepare
 
 #: Documents in a group, on average.
 GROUP_DOCS = 2048
@@ -247,17 +247,26 @@ def pack(
     ``length`` that first-fit leaves with more room than 32 is cut into sequences whose lengths are
     powers of two, which need no padding.
 
-    Documents are dealt to groups by a hash of id and text, so a group holds about ``group_docs`` rows
-    at any size of the table. A group gets checksums of whole sequences and less than one sequence
+    Documents are dealt to groups by a hash of id and text, and rows that repeat more than an eighth of
+    ``group_docs`` times by their place too, so a group holds about ``group_docs`` rows at any size of
+    the table. A group gets checksums of whole sequences and less than one sequence
     of ids per document. Rows that repeat a document are packed each. ``ranks``: see
     ``WordTokenizer``; both files must be at the same path on every executor.
     """
     prepare(docs.sparkSession)
     groups = max(1, -(-docs.count() // group_docs))
-    source = docs.select(
+    keyed = docs.select(
         F.col(id_column).alias("id"),
         F.col(text).cast("string").alias("text"),
-        F.pmod(F.xxhash64(id_column, text), F.lit(groups)).alias("bin"),
+        F.xxhash64(id_column, text).alias("h"),
+    )
+    # Rows that repeat very often are dealt to several groups by their place in the input.
+    often = materialise(
+        keyed.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > max(1, group_docs // 8))
+    )
+    apart = F.when(F.col("n").isNotNull(), F.xxhash64("h", F.monotonically_increasing_id())).otherwise(F.col("h"))
+    source = keyed.join(often, "h", "left").select(
+        "id", "text", F.pmod(apart, F.lit(groups)).alias("bin")
     )
     name = docs.schema[id_column].dataType.simpleString()
     tokenised = source.mapInArrow(

@@ -89,3 +89,14 @@ def test_first_fit_decreasing(capacity):
         want = next(b for b, r in enumerate(room) if r >= sizes[item])
         room[want] -= sizes[item]
         assert got[item] == want
+
+
+def test_equal_rows_are_dealt_apart(spark):
+    rows = spark.range(6000).selectExpr("CAST(NULL AS long) AS doc_id", "'the same words' AS text")
+    docs = rows.repartition(4).unionByName(spark.createDataFrame([(1, "other"), (2, None)], rows.schema))
+    pieces = packing.pack(docs, PATH, group_docs=256, ranks=RANKS).collect()
+    per_group = defaultdict(int)
+    for p in pieces:
+        per_group[p.sequence_id >> 32] += p.doc_id is None and p.start == 0
+    assert sum(per_group.values()) == 6000 and max(per_group.values()) < 600
+    assert {p.doc_id for p in pieces} == {None, 1, 2}
