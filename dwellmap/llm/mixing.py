@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwellmap.session import materialise
+from dwellmap.session import discard, materialise
 
 #: Permutation blocks of a source, as hex digits of the order key: 4096 blocks.
 BLOCK_DIGITS = 3
@@ -112,61 +112,75 @@ def mix(
     """The documents with ``n_tokens`` and ``copies``, how often each stands in the mixture.
 
     A source's target is filled with whole passes, then with the first documents, in the order of
-    MD5(seed:id), whose running total fits the rest. That order is cut into 4096 blocks per source:
-    token sums per block say which blocks fit whole, and only the one block where the budget ends is
-    looked at row by row. So a source with a third of all rows is never gathered, and no job but the
-    last moves documents. Rows that repeat an id are drawn together. A null source is a source, a null
-    text has no tokens, and documents of sources without any tokens are drawn once.
+    MD5(seed:id), whose running total fits the rest. Where that ends is found by blocks of that order: token
+    sums per block of three digits tell the block, sums per block of six digits the part of it, and so on
+    until one document is left. So every step sums up at most 4096 blocks a source, a source with a third of
+    all rows is never gathered, and documents meet one row per source only; no job moves them. Rows that
+    repeat an id are drawn together. A null source is a source, a null text has no tokens, and documents of
+    sources without any tokens are drawn once. Columns named ``n_tokens`` or ``copies`` are replaced; other
+    names don't matter.
     """
+    kept = [c for c in docs.columns if c not in ("n_tokens", "copies")]
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_column).cast("string"), F.lit(""))))
-    keyed = docs.withColumns({"__tokens": token_count(text), "__order": order}).withColumn(
-        "__block", F.substring("__order", 1, BLOCK_DIGITS)
-    )
-    blocks = materialise(
-        keyed.groupBy(F.col(source).alias("source"), F.col("__block").alias("block")).agg(
-            F.sum("__tokens").alias("tokens")
-        )
+    keyed = docs.select(
+        F.struct(*kept).alias("doc"),
+        F.col(source).alias("source"),
+        order.alias("order"),
+        token_count(text).alias("tokens"),
     )
+    measured = materialise(keyed.select("source", "order", "tokens"))
+    blocks = materialise(_blocks(measured, BLOCK_DIGITS))
     sources = materialise(blocks.groupBy("source").agg(F.sum("tokens").alias("tokens")))
-    weights = temperature_weights(sources, max_repeats, entropy, budget).select(
-        F.col("source").alias("w_source"),
+    plan = temperature_weights(sources, max_repeats, entropy, budget).select(
+        F.col("source").alias("s"),
         F.when(F.col("tokens") > 0, F.floor(F.col("target_tokens") / F.col("tokens")))
         .otherwise(F.lit(1))
         .cast("long")
         .alias("passes"),
-        F.when(F.col("tokens") > 0, F.col("target_tokens") % F.col("tokens"))
-        .otherwise(F.lit(0))
-        .alias("rest"),
-        (F.col("tokens") > 0).alias("filled"),
+        F.when(F.col("tokens") > 0, F.col("target_tokens") % F.col("tokens")).alias("rest"),
     )
-    before = Window.partitionBy("source").orderBy("block")
-    planned = materialise(
-        blocks.withColumn("upto", F.sum("tokens").over(before))
-        .join(weights, F.col("source").eqNullSafe(F.col("w_source")))
-        .select(
-            F.col("source").alias("b_source"),
-            F.col("block").alias("b_block"),
-            "passes",
-            # What is left for the block: all of it, a part, or nothing.
-            F.when(~F.col("filled"), F.lit(-1))
-            .otherwise(F.col("rest") - F.col("upto") + F.col("tokens"))
-            .alias("room"),
-            (F.col("filled") & (F.col("upto") <= F.col("rest"))).alias("whole"),
+    plan = materialise(plan)
+    cuts = _cuts(measured, blocks, plan.where("rest IS NOT NULL").select("s", "rest"))
+    limits = materialise(
+        plan.join(cuts.withColumnRenamed("s", "c"), F.col("s").eqNullSafe(F.col("c")), "left").select(
+            "s", "passes", "cut"
         )
     )
-    drawn = keyed.join(
-        planned,
-        F.col(source).eqNullSafe(F.col("b_source")) & (F.col("__block") == F.col("b_block")),
+    discard(measured, blocks, sources, plan)
+    extra = F.coalesce((F.col("order") < F.col("cut")).cast("long"), F.lit(0))
+    return keyed.join(limits, F.col("source").eqNullSafe(F.col("s"))).select(
+        *[F.col("doc")[c].alias(c) for c in kept],
+        F.col("tokens").alias("n_tokens"),
+        (F.col("passes") + extra).alias("copies"),
     )
-    cut = (~F.col("whole")) & (F.col("room") > 0)
-    within = Window.partitionBy(source, "__block").orderBy("__order")
-    parted = drawn.where(cut).withColumn(
-        "__extra", (F.sum("__tokens").over(within) <= F.col("room")).cast("long")
-    )
-    settled = drawn.where(~cut).withColumn("__extra", F.col("whole").cast("long"))
-    kept = [c for c in docs.columns if c not in ("n_tokens", "copies")]
-    return settled.unionByName(parted).select(
-        *kept,
-        F.col("__tokens").alias("n_tokens"),
-        (F.col("passes") + F.col("__extra")).alias("copies"),
+
+
+def _blocks(measured: DataFrame, digits: int) -> DataFrame:
+    """Token sums, and the first and last place, of the documents whose order begins alike."""
+    return measured.groupBy("source", F.substring("order", 1, digits).alias("block")).agg(
+        F.sum("tokens").alias("tokens"), F.min("order").alias("low"), F.max("order").alias("high")
     )
+
+
+def _cuts(measured: DataFrame, blocks: DataFrame, rests: DataFrame) -> DataFrame:
+    """Per source ``s``, the first order at which the running total of tokens exceeds ``rest``."""
+    digits, settled = BLOCK_DIGITS, []
+    before = Window.partitionBy("s").orderBy("block")
+    while True:
+        summed = blocks.join(rests, F.col("source").eqNullSafe(F.col("s"))).withColumn(
+            "upto", F.sum("tokens").over(before)
+        )
+        at = F.min(F.struct("block", "low", "high", (F.col("rest") - F.col("upto") + F.col("tokens")).alias("rest")))
+        first = materialise(summed.where("upto > rest").groupBy("s").agg(at.alias("at")).select("s", "at.*"))
+        settled.append(first.where("low = high").select("s", F.col("low").alias("cut")))
+        wider = first.where("low <> high")
+        if wider.isEmpty():
+            break
+        inside = F.col("source").eqNullSafe(F.col("s")) & (F.substring("order", 1, digits) == F.col("block"))
+        measured = materialise(measured.join(wider, inside).select("source", "order", "tokens"))
+        digits += BLOCK_DIGITS
+        blocks, rests = _blocks(measured, digits), wider.select("s", "rest")
+    found = settled[0]
+    for part in settled[1:]:
+        found = found.unionByName(part)
+    return found

@@ -28,8 +28,8 @@ _BLOCK_BITS = 256
 #: Members of a list that one task compares with each other at a time.
 _LIST_PART = 1024
 #: Least bytes of a sketch that a list's members carry; longer sketches are folded.
-_BRIEF = 8
-#: Parts in which keys are counted and joined, one after another, so that less stands on disk at a time.
+_BRIEF = 64
+#: Parts in which keys, and lists, are dealt with one after another, so that less stands on disk at a time.
 _KEY_PARTS = 2
 #: Pairs whose sketches are compared at a time, at most.
 _PAIRS = 1 << 15
@@ -103,10 +103,10 @@ def describe(tokens: np.ndarray, percent: int) -> tuple[int, int, np.ndarray, by
 
 
 def _brief_size(n: int, percent: int) -> int:
-    """Bytes to which the sketch of ``n`` shingles is folded: at least three bits for each one in which a
+    """Bytes to which the sketch of ``n`` shingles is folded: at least four bits for each one in which a
     similar pair may differ, as unrelated sketches differ in about half of their bits."""
     size = _BRIEF
-    while size * 8 < 3 * max_difference(n + 100 * n // percent, percent):
+    while size * 2 < max_difference(n + 100 * n // percent, percent):
         size *= 2
     return size
 
@@ -391,8 +391,19 @@ def near_groups(
         .agg(F.min("key").alias("key"))
     )
     apart = materialise(labelled.join(lists.select("key"), "key"))
-    pairs = deal_blocks(apart, _LIST_PART, sketches.drop("sketch")).mapInArrow(_open_pairs(percent), f"a {name}, b {name}")
-    pairs = materialise(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    found = []
+    for part in range(_KEY_PARTS):
+        own = apart.where(F.pmod("key", F.lit(_KEY_PARTS)) == part)
+        open_pairs = deal_blocks(own, _LIST_PART, sketches.drop("sketch")).mapInArrow(
+            _open_pairs(percent), f"a {name}, b {name}"
+        )
+        found.append(
+            materialise(open_pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        )
+    pairs = found[0]
+    for part in found[1:]:
+        pairs = pairs.unionByName(part)
+    pairs = pairs.distinct()
     component = components(links.union(verified(pairs)))
     resolved = materialise(
         classes.join(component.withColumnRenamed("u", "rep"), "rep", "left").select(

@@ -131,3 +131,24 @@ def test_mixing_draws_repeated_rows_alike(spark):
     rows = [(1, "a b c", "s")] * 3 + [(2, "a", "t"), (None, "a b", "s"), (None, "a b", "s")]
     got = mixing.mix(docs(spark, rows), max_repeats=2.0).collect()
     assert len(got) == 6 and len({(r.doc_id, r.copies) for r in got}) == 3
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    names = ["room", "passes", "whole", "b_block", "rest", "s", "cut", "order", "tokens", "doc", "n_tokens"]
+    rows = [(i, "w " * (i % 5), f"s{i % 3}", *[f"{c}{i}" for c in names]) for i in range(60)]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in names)
+    got = {r.doc_id: r for r in mixing.mix(spark.createDataFrame(rows, schema), max_repeats=1.5).collect()}
+    assert len(got) == 60
+    for i, r in got.items():
+        assert [r[c] for c in names[:-1]] == [f"{c}{i}" for c in names[:-1]]
+        assert r["n_tokens"] == i % 5
+
+
+def test_the_cut_is_found_digit_by_digit(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_DIGITS", 1)
+    rows = [(i, "w " * (i % 4), "a" if i % 3 else "b") for i in range(700)] + [(5, "w w w", "a")] * 40
+    table = docs(spark, rows)
+    sources = mixing.source_tokens(table)
+    weights = {r.source: r for r in mixing.temperature_weights(sources, max_repeats=1.3).collect()}
+    got = {r.doc_id: r.copies for r in mixing.mix(table, max_repeats=1.3).collect()}
+    assert got == brute_mix(rows, {s: r.target_tokens for s, r in weights.items()})

@@ -93,7 +93,7 @@ def test_first_fit_decreasing(capacity):
 
 def test_equal_rows_are_dealt_apart(spark):
     rows = spark.range(6000).selectExpr("CAST(NULL AS long) AS doc_id", "'the same words' AS text")
-    docs = rows.repartition(4).unionByName(spark.createDataFrame([(1, "other"), (2, None)], rows.schema))
+    docs = rows.repartition(4).unionByName(spark.createDataFrame([(1, "other"), (2, None)], "doc_id long, text string"))
     pieces = packing.pack(docs, PATH, group_docs=256, ranks=RANKS).collect()
     per_group = defaultdict(int)
     for p in pieces:
