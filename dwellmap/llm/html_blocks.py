@@ -448,7 +448,7 @@ def train(
     usable = pages.select(F.col(html_column).cast("string").alias("page")).where(
         F.length("page").between(1, 200_000)
     )
-    sample = hash_sample(usable, ["page"], sample_pages, pages.count()).collect()
+    sample = hash_sample(usable, ["page"], sample_pages).collect()
     rng = np.random.default_rng(seed)
     examples, known = [], set()
     for row in sample:

@@ -138,7 +138,7 @@ def train(
     its length, and usually a few.
     """
     key = hash_share("doc_id")
-    rated = hash_sample(ratings.select("doc_id"), ["doc_id"], max_sample, ratings.count())
+    rated = hash_sample(ratings.select("doc_id"), ["doc_id"], max_sample)
     limit = rated.agg(F.max("h")).first()[0]
     if limit is None:
         return fit([], np.zeros(0, int))

@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 
 from dwellmap.functions.graph import connected_components
 from dwellmap.llm.blocks import comparisons, deal_blocks
-from dwellmap.llm.sampling import hash_sample
-from dwellmap.session import materialise
+from dwellmap.llm.sampling import hash_sample_by
+from dwellmap.session import materialise, prepare
 
 SHARED = 3
 #: Members of a list that one task compares with each other at a time.
 BLOCK = 1024
+#: A list's key is the length of its vectors above this many bits, and the numbers of its pivots in them.
+_KEY_BITS = 12 * SHARED
 
 
 def index_size(vectors: int) -> tuple[int, int]:
@@ -33,12 +35,12 @@ def index_size(vectors: int) -> tuple[int, int]:
     return pivots, 8 if pivots <= 256 else 10
 
 
-def unit(vector: list | None, size: int | None = None) -> np.ndarray | None:
+def unit(vector: list | None) -> np.ndarray | None:
     """The vector with length 1, or None if it links with nothing."""
     if vector is None or any(x is None for x in vector):
         return None
     found = np.array(vector, np.float64)
-    if not len(found) or (size is not None and len(found) != size) or not np.isfinite(found).all():
+    if not len(found) or not np.isfinite(found).all():
         return None
     largest = np.abs(found).max()
     if not largest:
@@ -68,19 +70,23 @@ def choose_pivots(sample: list[np.ndarray], wanted: int) -> np.ndarray:
     return pool[chosen or [0]]
 
 
-def _described(pivots: np.ndarray, near: int):
+def _described(pivots: dict[int, np.ndarray], near: dict[int, int]):
+    """Units and nearest pivots; pivots are those of the vector's length."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = pivots.shape[1] if len(pivots) else None
         for batch in batches:
-            units = [unit(v, size) for v in batch.column(1).to_pylist()] if size else [None] * len(batch)
-            good = [i for i, u in enumerate(units) if u is not None]
-            raw: list[bytes | None] = [None] * len(batch)
-            tops: list[bytes | None] = [None] * len(batch)
-            if good:
-                stacked = np.stack([units[i] for i in good])
-                order = np.argsort(-(stacked @ pivots.T), axis=1, kind="stable")[:, :near]
-                for i, row, top in zip(good, stacked, np.sort(order, axis=1), strict=True):
-                    raw[i], tops[i] = row.tobytes(), top.astype("<u2").tobytes()
+            units = [unit(v) for v in batch.column(1).to_pylist()]
+            raw = [None if u is None else u.tobytes() for u in units]
+            tops: list[bytes | None] = [None if u is None else b"" for u in units]
+            lengths = np.array([0 if u is None else len(u) for u in units])
+            for length in np.unique(lengths[lengths > 0]).tolist():
+                if length not in pivots:
+                    continue
+                rows = np.flatnonzero(lengths == length).tolist()
+                stacked = np.stack([units[i] for i in rows])
+                order = np.argsort(-(stacked @ pivots[length].T), axis=1, kind="stable")
+                for i, top in zip(rows, np.sort(order[:, : near[length]], axis=1), strict=True):
+                    tops[i] = top.astype("<u2").tobytes()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(raw, pa.binary()), pa.array(tops, pa.binary())],
                 ["id", "unit", "top"],
@@ -92,19 +98,22 @@ def _described(pivots: np.ndarray, near: int):
 def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         tops = [np.frombuffer(t, "<u2").astype(np.int64) for t in batch.column(1).to_pylist()]
-        if not tops:
-            continue
-        places = np.array(list(itertools.combinations(range(len(tops[0])), SHARED)), int)
-        if not len(places):
-            places = np.zeros((1, 0), int)
-        picked = np.stack(tops)[:, places]
-        keys = np.zeros(picked.shape[:2], np.int64)
-        for i in range(places.shape[1]):
-            keys = keys * 4096 + picked[:, :, i] + 1
-        rows = np.repeat(np.arange(len(tops)), keys.shape[1])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.ravel()), batch.column(0).take(pa.array(rows))], ["key", "id"]
-        )
+        lengths = np.array(batch.column(2).to_pylist(), np.int64)
+        counts = np.array([len(t) for t in tops], np.int64)
+        for near in np.unique(counts).tolist():
+            own = np.flatnonzero(counts == near)
+            places = np.array(list(itertools.combinations(range(near), SHARED)), int)
+            if not len(places):
+                places = np.zeros((1, 0), int)
+            picked = np.stack([tops[i] for i in own.tolist()])[:, places]
+            keys = np.zeros(picked.shape[:2], np.int64)
+            for i in range(places.shape[1]):
+                keys = keys * 4096 + picked[:, :, i] + 1
+            keys += lengths[own][:, None] << _KEY_BITS
+            rows = np.repeat(own, keys.shape[1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.ravel()), batch.column(0).take(pa.array(rows))], ["key", "id"]
+            )
 
 
 def compare(
@@ -118,6 +127,7 @@ def compare(
     """
     linked = a[0] @ b[0].T >= least
     triple = []
+    key &= (1 << _KEY_BITS) - 1
     while key:
         triple.append(key % 4096 - 1)
         key //= 4096
@@ -199,10 +209,11 @@ def near_vectors(
     """One row per vector: id, ``n_links`` (other vectors with cosine >= ``least`` found),
     ``component_id`` (smallest id reachable by links) and ``kept`` (it is its own component id).
 
-    Null and zero vectors, vectors with null or non-finite components, and vectors of another length
-    than most of the sample link with nothing. Equal vectors form a class first, of which one member is
-    indexed; a class of any size costs one list entry. Pivots come from a sample of at most
-    ``sample_vectors`` distinct vectors, by the order of a hash; every vector is indexed. Lists longer
+    Null and zero vectors and vectors with null or non-finite components link with nothing, and vectors
+    of different lengths don't link with each other. Equal vectors form a class first, of which one member
+    is indexed; a class of any size costs one list entry. Pivots are chosen for each length, from a sample
+    of about ``sample_vectors`` distinct vectors in all, by the order of a hash (but at least 256 of a
+    length); every vector is indexed. Lists longer
     than 1024 are compared block by block in separate tasks, so no task holds a long list, and every
     pair is counted in one list only. Rows that repeat an id count as vectors each; rows with a null
     id link with nothing.
@@ -216,14 +227,21 @@ def near_vectors(
         & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("embedding", lambda x: x != 0)
     )
-    total = vectors.count()
-    sample = hash_sample(usable.select("embedding"), ["embedding"], sample_vectors, total)
-    found = {row["h"]: unit(row["embedding"]) for row in sample.toArrow().to_pylist()}
-    lengths = [len(u) for u in found.values() if u is not None]
-    size = max(sorted(set(lengths)), key=lengths.count) if lengths else 0
-    wanted, near = index_size(total)
-    pivots = choose_pivots([u for u in found.values() if u is not None and len(u) == size], wanted)
-    near = min(near, len(pivots))
+    prepare(vectors.sparkSession)
+    sample, sizes = hash_sample_by(
+        usable.select("embedding", F.size("embedding").alias("length")), "length", ["embedding"], sample_vectors, 256
+    )
+    pools: dict[int, list[np.ndarray]] = {}
+    for row in sample.toArrow().sort_by([("length", "ascending"), ("h", "ascending")]).to_pylist():
+        found = unit(row["embedding"])
+        if found is not None:
+            pools.setdefault(len(found), []).append(found)
+    pivots: dict[int, np.ndarray] = {}
+    near: dict[int, int] = {}
+    for length, pool in pools.items():
+        wanted, nearest = index_size(sizes[length])
+        pivots[length] = choose_pivots(pool, wanted)
+        near[length] = min(nearest, len(pivots[length]))
 
     described = materialise(
         source.mapInArrow(_described(pivots, near), f"id {name}, unit binary, top binary").withColumn(
@@ -239,7 +257,8 @@ def near_vectors(
         described.join(classes.withColumnRenamed("rep", "id"), ["class", "id"]).dropDuplicates(["class"])
         .select("id", "unit", "top", "size")
     )
-    postings = reps.select("id", "top").mapInArrow(_triples, f"key long, id {name}").select("key", "id")
+    length = F.expr("octet_length(unit) DIV 8").cast("long")
+    postings = reps.select("id", "top", length.alias("length")).mapInArrow(_triples, f"key long, id {name}").select("key", "id")
     postings = materialise(postings)
     lists = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = postings.join(lists.select("key"), "key").join(reps, "id")

@@ -7,8 +7,8 @@ from dwellmap.llm.queries import op1_near_vectors
 def brute(rows, least=0.9):
     units = {}
     for i, v in rows:
-        u = pivot_dedup.unit(v, len(rows[0][1]))
-        if u is not None and i is not None:
+        u = pivot_dedup.unit(v)
+        if u is not None and i is not None and len(u) == len(rows[0][1]):
             units[i] = u
     ids = sorted(units)
     u = np.stack([units[i] for i in ids])
@@ -75,3 +75,29 @@ def test_edge_rows(spark):
     rows += [(2, [2.0, 4.0], "u", "t", "n"), (3, [-1.0, -2.0], "u", "t", "n"), (4, [], "u", "t", "n")]
     got = sorted((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in pivot_dedup.near_vectors(spark.createDataFrame(rows, schema)).collect())
     assert got == [(0, 0, None, False), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 0, 4, True)]
+
+
+def test_a_vector_that_makes_up_most_of_the_table(spark):
+    rng = np.random.default_rng(5)
+    rare = rows_of(rng, 60, [1, 2, 3], 0.1, 16)
+    common = spark.range(400_000).selectExpr("id + 100000 AS vec_id", "array(1D, 2D, 3D, 4D) AS embedding")
+    # Near the common one, and all others of another length.
+    close = [(50_000, [1.0, 2.0, 3.0, 4.5]), (50_001, [1.0, 2.0, 3.5, 4.0])]
+    others = spark.createDataFrame(rare + close, "vec_id long, embedding array<double>")
+    out = pivot_dedup.near_vectors(common.unionByName(others)).where("n_links > 0 OR vec_id < 100000").persist()
+    assert out.where("vec_id >= 100000 AND n_links = 400001 AND component_id = 50000").count() == 400_000
+    got = {r.vec_id: (r.n_links, r.component_id) for r in out.where("vec_id < 100000").collect()}
+    assert got[50_000] == (400_001, 50_000) and got[50_001] == (400_001, 50_000)
+    assert {i: got[i] for i, _ in rare} == brute(rare)
+    out.unpersist()
+
+
+def test_every_length_is_indexed(spark):
+    rng = np.random.default_rng(6)
+    short, long = rows_of(rng, 100, [1, 3], 0.1, 8), rows_of(rng, 90, [2, 1], 0.1, 40)
+    long = [(i + 5000, v) for i, v in long]
+    ten = [(9000 + i, [1.0, 2.0, 3.0]) for i in range(10)] + [(9100 + i, [1.0, float(i)]) for i in range(4)]
+    docs = spark.createDataFrame(short + long + ten, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pivot_dedup.near_vectors(docs).collect()}
+    want = brute(short) | brute(long) | brute(ten[:10]) | brute(ten[10:])
+    assert got == want
