@@ -568,3 +568,15 @@ ORACLES: dict[str, str] = {
 ORACLES["write_places"] = ORACLES["places"]
 ORACLES["rewrite_places"] = ORACLES["places"]
 ORACLES["rewrite_stops"] = ORACLES["write_stops"]
+ORACLES["user_table_merge"] = ORACLES["repair_overlaps"]
+ORACLES["resumed_backfill"] = _query(
+    """(
+      SELECT 'stops' AS stage, u.day, CASE WHEN u.day = DATE '2024-01-08' THEN 2 ELSE 1 END AS runs, count(s.d) AS n_rows
+      FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-05', DATE '2024-01-12', INTERVAL 1 DAY)) AS DATE) AS day) u
+      LEFT JOIN stops s ON s.d = u.day GROUP BY u.day
+      UNION ALL
+      SELECT 'hours', u.day, 1, count(h.userId)
+      FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-05', DATE '2024-01-12', INTERVAL 1 DAY)) AS DATE) AS day) u
+      LEFT JOIN hours h ON h.year = 2024 AND h.dayofyear = dayofyear(u.day) GROUP BY u.day)""",
+    "stage", "day:day", "CAST(runs AS BIGINT) AS runs", "CAST(n_rows AS BIGINT) AS n_rows", tables=("stops", "hours"),
+)

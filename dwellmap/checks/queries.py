@@ -13,9 +13,9 @@ from dwellmap import schemas
 from dwellmap.checks import fixtures
 from dwellmap.functions.geo import geohash
 from dwellmap.operators import activity, clustering, ingest, merging, places, stops, trajectory
-from dwellmap.plans import mobility
+from dwellmap.plans import ledger, mobility
 from dwellmap.session import materialise, prepare, scratch_path
-from dwellmap.sources import sinks, tables
+from dwellmap.sources import sinks, tables, user_tables
 
 _METRES = {
     "distance", "distance_next", "distance_prev", "dist_sum", "after_stop_distance", "pair_sum_m",
@@ -361,6 +361,38 @@ def backfill(spark, sf_dir):
     return read.withColumn("prefix", F.substring("userId", 1, 2))
 
 
+@_query()
+def resumed_backfill(spark, sf_dir):
+    """Two runs over eight days, with one day of stops struck out in between: how often each unit was done,
+    and the rows it has in the end."""
+    out, days = scratch_path(spark, "backfill"), (dt.date(2024, 1, 5), dt.date(2024, 1, 12))
+    done = ledger.Ledger(spark, f"{out}/ledger")
+    struck = dt.date(2024, 1, 8)
+    pings = _ping_table(spark, sf_dir)
+    for run in range(2):
+        if run:
+            done.strike("stops", "US", ledger.days_between(spark, struck, struck))
+        ledger.resume(
+            spark, pings, fixtures.states(spark), out, done, *days, stages=("stops", "hours")
+        )
+    runs = done.history().groupBy("stage", "day").agg(F.count_if("done").alias("runs"))
+    hours = tables.scan_table(spark, f"{out}/hours")
+    dated = hours.select(F.make_date(F.col("year").cast("int"), F.lit(1), F.lit(1)).alias("first"), "dayofyear")
+    rows = (
+        tables.scan_table(spark, f"{out}/stops")
+        .select(F.lit("stops").alias("stage"), tables.partition_date().alias("day"))
+        .unionByName(
+            dated.select(
+                F.lit("hours").alias("stage"),
+                F.date_add("first", F.col("dayofyear").cast("int") - 1).alias("day"),
+            )
+        )
+        .groupBy("stage", "day")
+        .agg(F.count("*").alias("n_rows"))
+    )
+    return runs.join(rows, ["stage", "day"], "left").fillna(0, ["n_rows"])
+
+
 # --- activity hours ------------------------------------------------------------------------------
 
 
@@ -405,6 +437,15 @@ def repair_overlaps(spark, sf_dir):
     return _repaired(spark, sf_dir)
 
 
+@_query(*_MERGED)
+def user_table_merge(spark, sf_dir):
+    """Merging and repair on a table bucketed by user, opened anew."""
+    path = scratch_path(spark, "user-stops")
+    user_tables.write_user_table(_stops(spark, sf_dir), path, buckets=8)
+    kept = user_tables.open_user_table(spark, path)
+    return merging.repair_overlaps(merging.merge_stops(kept, together=True), together=True)
+
+
 @_query(*_MERGED, "clusterId")
 def cluster_places(spark, sf_dir):
     return clustering.cluster_places(_repaired(spark, sf_dir))

@@ -6,7 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellmap.functions.geo import haversine_m
-from dwellmap.functions.timeline import SPAN, by_span, with_neighbour, with_running_total
+from dwellmap.functions.timeline import (
+    SPAN,
+    by_span,
+    with_neighbour,
+    with_neighbour_together,
+    with_running_total,
+    with_running_total_together,
+)
 from dwellmap.operators.stops import MIN_STAY_MIN
 from dwellmap.session import materialise
 
@@ -44,6 +51,7 @@ def merge_flag(
     roam_dist: float = ROAM_DIST_EVENTS_M,
     day_rule: str = "next",
     night_hour: int = NIGHT_HOUR,
+    together: bool = False,
 ) -> DataFrame:
     """Mark with 1 the stops that open a new group: the user moved, or a new day began at night.
 
@@ -51,7 +59,10 @@ def merge_flag(
     moved", so a user's first stop is marked only if distance was travelled before it.
     """
     known = stops.select(*_MERGE_INPUT).fillna(0.0, ["next_travelled_distance"])
-    seen = with_neighbour(by_span(known, USER, "begin"), USER, STOP_ORDER, "previous")
+    if together:
+        seen = with_neighbour_together(known, USER, STOP_ORDER, "previous")
+    else:
+        seen = with_neighbour(by_span(known, USER, "begin"), USER, STOP_ORDER, "previous")
     here = [F.radians(c) for c in ("latitude", "longitude")]
     there = [F.radians(F.col(f"previous.{c}")) for c in ("latitude", "longitude")]
     jump = F.coalesce(haversine_m(*there, *here), F.lit(0.0))
@@ -69,14 +80,21 @@ def merge_flag(
     ).drop("previous")
 
 
-def merge_stops(stops: DataFrame, by_state: bool = False, **rules) -> DataFrame:
+def merge_stops(
+    stops: DataFrame, by_state: bool = False, together: bool = False, **rules
+) -> DataFrame:
     """One row per group of stops at which the user stayed put.
 
-    ``by_state`` splits groups at state borders, as earlier versions of the tables did.
+    ``by_state`` splits groups at state borders, as earlier versions of the tables did. With ``together``
+    (see ``merge_flag``) rows don't move and nothing is written in between.
     """
-    # Written, as the running total reads the flags twice: the windows before it run once.
-    flagged = materialise(merge_flag(stops, **rules)).repartition(*USER, SPAN)
-    grouped = with_running_total(flagged, USER, ["begin"], F.col("opens_group"), "group")
+    if together:
+        flagged = merge_flag(stops, together=True, **rules)
+        grouped = with_running_total_together(flagged, USER, ["begin"], F.col("opens_group"), "group")
+    else:
+        # Written, as the running total reads the flags twice: the windows before it run once.
+        flagged = materialise(merge_flag(stops, **rules)).repartition(*USER, SPAN)
+        grouped = with_running_total(flagged, USER, ["begin"], F.col("opens_group"), "group")
     first_state = F.min_by("state", F.struct("begin", "end", "latitude", "longitude", "state"))
     states = [] if by_state else [first_state.alias("state")]
     return (
@@ -92,14 +110,19 @@ def merge_stops(stops: DataFrame, by_state: bool = False, **rules) -> DataFrame:
     )
 
 
-def repair_overlaps(merged: DataFrame, min_stay: float = MIN_STAY_MIN) -> DataFrame:
+def repair_overlaps(
+    merged: DataFrame, min_stay: float = MIN_STAY_MIN, together: bool = False
+) -> DataFrame:
     """End a stop ``min_stay`` before the next one begins when the two overlap.
 
     Left alone when the next stop begins within twice ``min_stay``, as no room would remain.
     """
     gap = int(min_stay * 60)
-    spans = by_span(merged, USER, "begin")
-    ahead = with_neighbour(spans, USER, STOP_ORDER, "following", following=True)
+    if together:
+        ahead = with_neighbour_together(merged, USER, STOP_ORDER, "following", following=True)
+    else:
+        spans = by_span(merged, USER, "begin")
+        ahead = with_neighbour(spans, USER, STOP_ORDER, "following", following=True)
     begins = F.col("following.begin")
     roomy = F.unix_seconds(begins) - F.unix_seconds("begin") > 2 * gap
     cut = begins - F.make_dt_interval(secs=F.lit(gap))
