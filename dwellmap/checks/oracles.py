@@ -580,3 +580,5 @@ ORACLES["resumed_backfill"] = _query(
       LEFT JOIN hours h ON h.year = 2024 AND h.dayofyear = dayofyear(u.day) GROUP BY u.day)""",
     "stage", "day:day", "CAST(runs AS BIGINT) AS runs", "CAST(n_rows AS BIGINT) AS n_rows", tables=("stops", "hours"),
 )
+ORACLES["pending_from_listing"] = ORACLES["pending_partitions"]
+ORACLES["screened_scan"] = ORACLES["scan_tsv"]

@@ -15,7 +15,7 @@ from dwellmap.functions.geo import geohash
 from dwellmap.operators import activity, clustering, ingest, merging, places, stops, trajectory
 from dwellmap.plans import ledger, mobility
 from dwellmap.session import materialise, prepare, scratch_path
-from dwellmap.sources import sinks, tables, user_tables
+from dwellmap.sources import screening, sinks, tables, user_tables
 
 _METRES = {
     "distance", "distance_next", "distance_prev", "dist_sum", "after_stop_distance", "pair_sum_m",
@@ -216,6 +216,31 @@ def pending_partitions(spark, sf_dir):
     return sinks.pending_partitions(wanted, existing)
 
 
+@_query()
+def pending_from_listing(spark, sf_dir):
+    """Days and user prefixes with pings for which no stops are written, told by the names of files."""
+    path = scratch_path(spark, "stops")
+    sinks.write_stops(_stops(spark, sf_dir), path, by_prefix=True)
+    written = sinks.written_partitions(spark, path, (*_YMD, "prefix"))
+    prefix = F.substring("userId", 1, 2).alias("prefix")
+    wanted = fixtures.pings(spark, sf_dir).select(F.to_date("timestamp").alias("day"), prefix)
+    return sinks.pending_partitions(
+        wanted, written.select(tables.partition_date().alias("day"), "prefix")
+    )
+
+
+@_query()
+def screened_scan(spark, sf_dir):
+    """Deliveries in compressed files among which empty, cut and foreign ones stand."""
+    path = scratch_path(spark, "raw")
+    raw = fixtures.raw(spark, sf_dir).hint("rebalance", "delivery_day")
+    raw.write.partitionBy("delivery_day").option("sep", "\t").option("compression", "gzip").csv(path)
+    fixtures.spoil(spark, path)
+    good = screening.sound_paths(screening.screen_files(spark, path, "*.gz"))
+    reader = spark.read.schema(schemas.RAW + ", delivery_day date").option("basePath", path)
+    return reader.option("sep", "\t").csv(good)
+
+
 @_query(*_PING, "opt1", *_YMD)
 def compact_table(spark, sf_dir):
     path_in, path_out = scratch_path(spark, "delivered"), scratch_path(spark, "compacted")

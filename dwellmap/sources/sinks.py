@@ -176,8 +176,10 @@ def compact_table(
 
 
 def written_partitions(spark: SparkSession, path: str, partitions: tuple[str, ...]) -> DataFrame:
-    """Partitions a table has rows in."""
-    return scan_table(spark, path).select(*partitions).distinct()
+    """Partitions a table has files in, from the names of its files: no file is opened. Files without a byte,
+    as a failed write may leave, don't count; Spark's scans leave them out."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    return files.select(*partitions).distinct()
 
 
 def pending_partitions(wanted: DataFrame, existing: DataFrame) -> DataFrame:
