@@ -18,6 +18,10 @@ from dwellmap.session import materialise, scratch_path
 SCHEMA = "digest binary, keep_id long"
 
 
+#: Hidden from scans of the index.
+_LAYOUT = "_layout"
+
+
 def text_digest(text: str = "text"):
     """SHA-256 of the UTF-8 text as 32 bytes; null counts as empty."""
     return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
@@ -36,11 +40,17 @@ class DigestIndex:
         """An empty index. Choose the buckets for the size it will grow to: they can't be changed."""
         index = cls(spark, path, buckets)
         index._write(spark.createDataFrame([], SCHEMA), "errorifexists")
+        spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.parquet(f"{path}/{_LAYOUT}")
         return index
 
     @classmethod
-    def open(cls, spark: SparkSession, path: str, buckets: int = 64) -> DigestIndex:
-        """An index made earlier, perhaps by another session, with the same number of buckets."""
+    def open(cls, spark: SparkSession, path: str, buckets: int | None = None) -> DigestIndex:
+        """An index made earlier, perhaps by another session. The number of buckets stands beside it; a
+        different one, if given, is refused, as it would keep texts twice."""
+        stored = spark.read.parquet(f"{path}/{_LAYOUT}").first()["buckets"]
+        if buckets not in (None, stored):
+            raise ValueError(f"the index has {stored} buckets, not {buckets}")
+        buckets = stored
         index = cls(spark, path, buckets)
         spark.sql(
             f"CREATE TABLE {index.table} ({SCHEMA}) USING parquet CLUSTERED BY (digest) "
@@ -66,7 +76,7 @@ class DigestIndex:
 
         Returns one row per input row: the id, ``keep_id``, ``group_size`` (rows of this batch with
         this text), ``kept`` and ``digest``. Of equal texts in a batch the largest id stays, unless
-        an earlier batch had the text already: then that batch's document does. Texts are equal when
+        an earlier batch had the text with an id already: then that batch's document does. Texts are equal when
         identical; null and empty are equal. Rows with a null id are never kept while another row has
         the text; repeated rows of one document share its answer.
 
@@ -84,8 +94,10 @@ class DigestIndex:
                 "digest", F.col("batch_id").alias("keep_id")
             )
         )
-        self._write(fresh.repartition(self.buckets, "digest"), "append")
-        answers = materialise(groups.join(self.read().hint("merge"), "digest"))
+        # A text that only rows without an id have gets no owner yet; a later batch may bring one.
+        owned = fresh.where("keep_id IS NOT NULL")
+        self._write(owned.repartition(self.buckets, "digest"), "append")
+        answers = materialise(groups.join(self.read().hint("merge"), "digest", "left"))
         return hashed.join(answers, "digest").select(
             F.col("id").alias(id_column),
             "keep_id",

@@ -67,7 +67,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.remove_spread_lines(_table(spark, sf_dir, "documents"))
+    out = line_dedup.remove_spread_lines(_table(spark, sf_dir, "documents"), max_share=None)
     return out.select(
         "doc_id",
         "n_lines",
@@ -171,13 +171,15 @@ x AS (
 spread AS (SELECT t FROM x WHERE length(t) >= 12 GROUP BY t HAVING count(DISTINCT source) >= 10),
 m AS (SELECT x.*, t IN (SELECT t FROM spread) AS hit FROM x),
 g AS (
-  SELECT r, count(*) FILTER (WHERE length(t) > 0) AS n_lines, count(*) FILTER (WHERE hit) AS n_hit,
-         sum(length(t)) AS chars, coalesce(sum(length(t)) FILTER (WHERE NOT hit), 0) AS left_chars,
+  SELECT r, any_value(source) AS source, count(*) FILTER (WHERE length(t) > 0) AS n_lines,
+         count(*) FILTER (WHERE hit) AS n_hit,
+         string_agg(t, chr(10) ORDER BY i) FILTER (WHERE length(t) > 0) AS whole,
          coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT hit), '') AS left_text
-  FROM m GROUP BY r)
-SELECT l.doc_id, g.n_lines,
-       CASE WHEN n_hit > 0 AND left_chars >= 0.5 * chars THEN n_hit ELSE 0 END AS n_removed,
-       sha256(CASE WHEN n_hit > 0 AND left_chars >= 0.5 * chars THEN left_text ELSE l.text END) AS text_sha256
-FROM l JOIN g USING (r)
+  FROM m GROUP BY r),
+copied AS (SELECT whole FROM g WHERE n_lines > 1 GROUP BY whole HAVING count(DISTINCT source) >= 10),
+d AS (SELECT g.*, n_hit > 0 AND NOT (n_lines > 1 AND whole IN (SELECT whole FROM copied)) AS cut FROM g)
+SELECT l.doc_id, d.n_lines, CASE WHEN cut THEN n_hit ELSE 0 END AS n_removed,
+       sha256(CASE WHEN cut THEN left_text ELSE l.text END) AS text_sha256
+FROM l JOIN d USING (r)
 """,
 }

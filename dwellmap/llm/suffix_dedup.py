@@ -2,11 +2,12 @@
 
 Equal strings of the wanted length contain an equal anchor: the gram with the least hash among all
 grams inside. Anchors that occur once need no look. The text around each other anchor is a context;
-contexts are gathered by anchor, equal ones once, and cut into shards. Every shard gets its
-Burrows-Wheeler order. The orders are merged by refining their interleave: rows that agree in ever
-longer contexts, doubled each round by following each shard's own jumps, keep their order and only
-their interleave changes. When the interleave knows the wanted length, its intervals of rows that
-still agree are the repeated strings; no suffix of the union was sorted.
+contexts are gathered by anchor, equal ones once, and cut into shards. Every shard sorts its own suffixes
+(the order of its Burrows-Wheeler transform). The orders are merged by refining their interleave: in every
+round, rows that agree in the depth compared so far are told apart by the class of the row that follows at
+that depth, so the depth doubles. A round sorts the keys of all rows of a batch; strings are not compared
+again. Rows that still agree at the wanted length are repeated strings. The transforms themselves are not
+read by the merge and no common prefixes are derived; the README says why.
 """
 
 from __future__ import annotations

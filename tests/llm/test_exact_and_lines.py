@@ -1,6 +1,8 @@
 import hashlib
 
 import corpus_pipeline
+import pytest
+
 from dwellmap.llm import exact_dedup, line_dedup, mixing
 from dwellmap.session import scratch_path
 
@@ -152,3 +154,16 @@ def test_the_cut_is_found_digit_by_digit(spark, monkeypatch):
     weights = {r.source: r for r in mixing.temperature_weights(sources, max_repeats=1.3).collect()}
     got = {r.doc_id: r.copies for r in mixing.mix(table, max_repeats=1.3).collect()}
     assert got == brute_mix(rows, {s: r.target_tokens for s, r in weights.items()})
+
+
+def test_the_index_knows_its_buckets_and_finds_owners_later(spark):
+    index = exact_dedup.DigestIndex.create(spark, scratch_path(spark, "digests"), 8)
+    first = docs(spark, [(None, "only without id", "s"), (1, "a", "s"), *[(i, f"t{i}", "s") for i in range(2, 60)]])
+    assert {r.kept for r in index.add(first).where("doc_id IS NULL").collect()} == {False}
+    with pytest.raises(ValueError, match="8 buckets"):
+        exact_dedup.DigestIndex.open(spark, index.path, 4)
+    again = exact_dedup.DigestIndex.open(spark, index.path)
+    rows = [(5000, "only without id", "s"), (5001, "a", "s"), *[(900 + i, f"t{i}", "s") for i in range(2, 60)]]
+    got = {r.doc_id: (r.keep_id, r.kept) for r in again.add(docs(spark, rows)).collect()}
+    assert got[5000] == (5000, True) and got[5001] == (1, False)
+    assert not any(got[900 + i][1] for i in range(2, 60))
