@@ -25,6 +25,7 @@ _PATH, _WORD, _FORM = 192, 32, 8
 INPUTS = _PATH + _WORD + _FORM
 HIDDEN = 16
 _BATCH_BLOCKS = 4096
+_SAMPLE_BLOCKS = 2000
 
 # Elements of HTML by how they end a block.
 _INLINE = set(
@@ -34,27 +35,158 @@ _INLINE = set(
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _SKIPPED = set("script style noscript template svg math iframe object canvas".split())
 _CLOSED_BY_SIBLING = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
+_HOLDS_SIBLINGS = ("ul", "ol", "dl", "table", "select", "div")
 _CLOSES_P = set(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr main nav ol p pre section table ul".split()
 )
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+_OPENING = re.compile(r"<(?:[!?]|/?[a-zA-Z])")
+_NAME_END = re.compile(r"[\s/>]")
+_QUOTE_OR_END = re.compile(r"[\"'>]")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
+_LONG_REFERENCE = re.compile(r"&#0*([0-9]{1,9})[0-9]*")
 
+_slots: dict[str, int] = {}
+
+
+def _slot(name: str) -> int:
+    if name not in _slots:
+        if len(_slots) > 50_000:
+            _slots.clear()
+        _slots[name] = zlib.crc32(name.encode()) % _PATH
+    return _slots[name]
+
+
+class Path:
+    """Open block elements from the outside in, each with the words of its class, id and role.
+
+    A path shares all but its last element with the path around it, and so do the hashed names of its
+    elements, kept as the bits of a number: a deeply nested page costs no more than a flat one. Compares
+    and iterates like the tuple of its labels.
+    """
+
+    __slots__ = ("outer", "label", "depth", "bits", "last", "in_main", "in_other")
+
+    def __init__(self, outer: Path | None = None, label: str = ""):
+        self.outer, self.label = outer, label
+        if outer is None:
+            self.depth = self.bits = self.last = 0
+            self.in_main = self.in_other = False
+            return
+        names = label.split(" ")
+        self.depth = outer.depth + 1
+        self.bits = outer.bits
+        for name in names:
+            self.bits |= 1 << _slot(name)
+        self.last = 1 << _slot("/" + names[0])
+        # Inside a main element, and below the outermost one of these in something else.
+        self.in_main = outer.in_main or names[0] in _MAIN_ELEMENTS
+        self.in_other = outer.in_other or (
+            outer.in_main and (names[0] in _OTHER_ELEMENTS or not _OTHER_NAMES.isdisjoint(names[1:]))
+        )
+
+    def __len__(self) -> int:
+        return self.depth
+
+    def __iter__(self) -> Iterator[str]:
+        labels, path = [], self
+        while path.outer is not None:
+            labels.append(path.label)
+            path = path.outer
+        return reversed(labels)
+
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, Path | tuple) and tuple(self) == tuple(other)
+
+    def __hash__(self) -> int:
+        return hash(tuple(self))
+
+
+Block = tuple[str, Path, float]
+
+
+class _Marks:
+    """Finds comments, declarations and tags of a page from front to back.
 
-def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
+    A tag ends at the first ``>`` outside quotes; without one, ``<`` is text. Takes time in proportion to
+    the page: where a tag ends is remembered for every quote met on the way, and the next place of each
+    kind is looked for again only once it is passed.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.size = page, len(page)
+        self.ends: dict[int, int] = {}
+        self.name_end = self.stop = -1
+
+    def _find(self, pattern: re.Pattern, at: int) -> int:
+        found = pattern.search(self.page, at)
+        return found.start() if found else self.size
+
+    def _tag_end(self, at: int) -> int:
+        passed, end = [], -1
+        while at < self.size:
+            if self.page[at] == ">":
+                end = at + 1
+                break
+            if at in self.ends:
+                end = self.ends[at]
+                break
+            passed.append(at)
+            closed = self.page.find(self.page[at], at + 1)
+            if closed < 0:
+                break
+            at = self._find(_QUOTE_OR_END, closed + 1)
+        self.ends.update(dict.fromkeys(passed, end))
+        return end
+
+    def after(self, look: int) -> tuple[int, int, bool, str, str] | None:
+        """Start and end of the first one from ``look`` on, whether it closes an element, its name (empty
+        for comments and declarations) and its attributes. ``look`` must not go back."""
+        page = self.page
+        while mark := _OPENING.search(page, look):
+            start = mark.start()
+            if page[start + 1] in "!?":
+                comment = page.startswith("<!--", start)
+                close = page.find("-->", start + 4) if comment else page.find(">", start + 2)
+                end = self.size if close < 0 else close + (3 if comment else 1)
+                return start, end, False, "", ""
+            closes = page[start + 1] == "/"
+            name = start + 1 + closes
+            if self.name_end < name:
+                self.name_end = self._find(_NAME_END, name)
+            if self.stop < self.name_end:
+                self.stop = self._find(_QUOTE_OR_END, self.name_end)
+            end = self._tag_end(self.stop)
+            if end > 0:
+                return start, end, closes, page[name : self.name_end].lower(), page[self.name_end : end - 1]
+            look = start + 1
+        return None
+
+
+def _plain(text: str) -> str:
+    """Text with its character references decoded and white space as single spaces."""
+    # Digits beyond the ninth can't lead to a character; Python refuses numbers of thousands of digits.
+    return " ".join(html.unescape(_LONG_REFERENCE.sub(r"&#\1", text)).split())
+
+
+def blocks(page: str | None) -> list[Block]:
     """Leaf blocks of a page in order: text, tag path, share of characters in links.
 
     Character references are decoded and white space becomes single spaces. Scripts, styles, comments
     and other invisible parts give no block. Unclosed and misnested elements are repaired the way
     browsers do in the common cases. A path names the open block elements with the words of their
-    class, id and role, from the outside in.
+    class, id and role, from the outside in. Time and memory grow in proportion to the page, whatever
+    its markup.
     """
     page = page or ""
-    found: list[tuple[str, tuple[str, ...], float]] = []
-    stack: list[tuple[str, str]] = []
+    found: list[Block] = []
+    # Open elements, None where an inline one was closed below others; their places by tag; the paths of
+    # the block elements among them with their places.
+    stack: list[str | None] = []
+    places: dict[str, list[int]] = {}
+    paths: list[tuple[int, Path]] = [(-1, Path())]
     text: list[str] = []
     linked = 0
     links_open = 0
@@ -62,52 +194,57 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
     def flush() -> None:
         nonlocal linked
         if text:
-            whole = " ".join(html.unescape("".join(text)).split())
+            whole = _plain("".join(text))
             if whole:
-                path = tuple(label for tag, label in stack if tag not in _INLINE)
-                found.append((whole, path, min(1.0, linked / max(1, len(whole)))))
+                found.append((whole, paths[-1][1], min(1.0, linked / max(1, len(whole)))))
             text.clear()
         linked = 0
 
     def pop_to(depth: int) -> None:
         nonlocal links_open
-        links_open -= sum(tag == "a" for tag, _ in stack[depth:])
-        del stack[depth:]
+        while len(stack) > depth:
+            tag = stack.pop()
+            if tag is None:
+                continue
+            places[tag].pop()
+            links_open -= tag == "a"
+            if paths[-1][0] == len(stack):
+                paths.pop()
+
+    def innermost(tag: str) -> int:
+        return places[tag][-1] if places.get(tag) else -1
 
     at, end = 0, len(page)
-    while at < end:
-        mark = _TOKEN.search(page, at)
-        start = mark.start() if mark else end
+    marks = _Marks(page)
+    while mark := marks.after(at):
+        start, after, closes, tag, attributes = mark
         if start > at:
             piece = page[at:start]
             text.append(piece)
             if links_open:
                 linked += len(piece.strip())
-        if not mark:
-            break
-        at = mark.end()
-        tag = (mark[2] or "").lower()
+        at = after
         if not tag:
             continue
-        if mark[1]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if depth is None:
+        if closes:
+            depth = innermost(tag)
+            if depth < 0:
                 if tag not in _INLINE:
                     flush()
                 continue
             # A stray inline end tag must not close blocks.
-            if tag in _INLINE and any(t not in _INLINE for t, _ in stack[depth:]):
-                if tag == "a":
-                    links_open -= 1
-                del stack[depth]
+            if tag in _INLINE and paths[-1][0] > depth:
+                links_open -= tag == "a"
+                stack[depth] = None
+                places[tag].pop()
                 continue
             if tag not in _INLINE:
                 flush()
             pop_to(depth)
             continue
         if tag in _SKIPPED:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            if not mark[3].rstrip().endswith("/"):
+            if not attributes.rstrip().endswith("/"):
+                close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 at = close.end() if close else end
             continue
         if tag == "br":
@@ -115,52 +252,36 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
             continue
         if tag not in _INLINE:
             flush()
-            if tag in _CLOSES_P:
-                open_p = [i for i, (t, _) in enumerate(stack) if t == "p"]
-                if open_p:
-                    pop_to(open_p[-1])
-            if tag in _CLOSED_BY_SIBLING:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        pop_to(i)
-                        break
-                    if stack[i][0] in ("ul", "ol", "dl", "table", "select", "div"):
-                        break
+            if tag in _CLOSES_P and innermost("p") >= 0:
+                pop_to(innermost("p"))
+            if tag in _CLOSED_BY_SIBLING and innermost(tag) > max(map(innermost, _HOLDS_SIBLINGS)):
+                pop_to(innermost(tag))
         if tag in _VOID:
             continue
-        label = tag
-        if mark[3]:
-            hints = [next(filter(None, m[1:]), "") for m in (x.groups() for x in _ATTRIBUTE.finditer(mark[3]))]
-            if hints:
-                label = " ".join([tag, *_NAME.findall(" ".join(hints).lower())])
-        if tag == "a":
-            links_open += 1
-        stack.append((tag, label))
+        links_open += tag == "a"
+        if tag not in _INLINE:
+            hints = [next(filter(None, x.groups()[1:]), "") for x in _ATTRIBUTE.finditer(attributes)]
+            label = " ".join([tag, *_NAME.findall(" ".join(hints).lower())])
+            paths.append((len(stack), Path(paths[-1][1], label)))
+        places.setdefault(tag, []).append(len(stack))
+        stack.append(tag)
+    if at < end:
+        text.append(page[at:])
+        if links_open:
+            linked += len(page[at:].strip())
     flush()
     return found
 
 
-_slots: dict[str, int] = {}
-
-
-def _slot(name: str) -> int:
-    if name not in _slots:
-        if len(_slots) > 50_000:
-            _slots.clear()
-        _slots[name] = zlib.crc32(name.encode()) % _PATH
-    return _slots[name]
-
-
-def vectors(page: list[tuple[str, tuple[str, ...], float]]) -> np.ndarray:
-    """One row of inputs per block: hashed tag path, hashed words, and a few shapes."""
+def vectors(page: list[Block], start: int = 0, stop: int | None = None) -> np.ndarray:
+    """One row of inputs per block from ``start`` to ``stop``: hashed tag path, hashed words, and a few
+    shapes."""
+    last_row = max(1, len(page) - 1)
+    page = page[start:stop]
     out = np.zeros((len(page), INPUTS), np.float32)
-    for row, (_, path, _) in enumerate(page):
-        for depth, label in enumerate(path):
-            names = label.split(" ")
-            for name in names:
-                out[row, _slot(name)] = 1
-            if depth + 1 == len(path):
-                out[row, _slot("/" + names[0])] = 1
+    bits = b"".join((path.bits | path.last).to_bytes(_PATH // 8, "little") for _, path, _ in page)
+    names = np.frombuffer(bits, np.uint8).reshape(len(page), _PATH // 8)
+    out[:, :_PATH] = np.unpackbits(names, axis=1, bitorder="little")
     texts = pa.array([t for t, _, _ in page], pa.string())
     for first, last, data, bounds in chunks(texts):
         with np.errstate(over="ignore"):
@@ -177,7 +298,7 @@ def vectors(page: list[tuple[str, tuple[str, ...], float]]) -> np.ndarray:
             share,
             text[-1] in ".!?\"'”»…",
             min(len(path), 12) / 12,
-            row / max(1, len(page) - 1),
+            (start + row) / last_row,
             text[:1].isupper(),
             len(text) < 40,
         )
@@ -210,12 +331,14 @@ class Labeller:
     def parts(self) -> list[np.ndarray]:
         return [self.w, self.u, self.b, self.v, self.c]
 
-    def _run(self, x: np.ndarray, mask: np.ndarray, side: int, tape: list | None) -> np.ndarray:
-        """Hidden states in one direction for pages x (page, block, input), padded at the end."""
+    def _run(
+        self, x: np.ndarray, mask: np.ndarray, side: int, tape: list | None, carried: list | None = None
+    ) -> np.ndarray:
+        """Hidden states in one direction for pages x (page, block, input), padded at the end. ``carried``
+        holds the state to go on from, and then the one reached."""
         pages, steps, _ = x.shape
         gates = x @ self.w[side] + self.b[side]
-        h = np.zeros((pages, HIDDEN), np.float32)
-        s = np.zeros((pages, HIDDEN), np.float32)
+        h, s = carried or [np.zeros((pages, HIDDEN), np.float32) for _ in range(2)]
         out = np.zeros((pages, steps, HIDDEN), np.float32)
         for t in range(steps) if side == 0 else range(steps - 1, -1, -1):
             z = gates[:, t] + h @ self.u[side]
@@ -229,6 +352,8 @@ class Labeller:
                 tape.append((t, h, s, i, f, o, g, squashed, keep))
             h, s = o * squashed * keep, new
             out[:, t] = h
+        if carried is not None:
+            carried[:] = [h, s]
         return out
 
     def probabilities(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
@@ -311,6 +436,20 @@ def label(model: Labeller, pages: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
+def label_long(model: Labeller, page: list[Block]) -> np.ndarray:
+    """The same for one page of any length, read in slices with the state carried on, so that only a slice
+    is held as inputs."""
+    score = np.full(len(page), model.c[0], np.float32)
+    starts = range(0, len(page), _BATCH_BLOCKS)
+    for side in (0, 1):
+        carried = [np.zeros((1, HIDDEN), np.float32) for _ in range(2)]
+        for start in starts if side == 0 else reversed(starts):
+            x = vectors(page, start, start + _BATCH_BLOCKS)[None]
+            states = model._run(x, np.ones(x.shape[:2], np.float32), side, None, carried)
+            score[start : start + x.shape[1]] += states[0] @ model.v[side * HIDDEN : (side + 1) * HIDDEN]
+    return 1 / (1 + np.exp(-score))
+
+
 # How pages name the parts that are not the article, by kind, for the training layouts.
 _PARTS = {
     "menu": (["nav", "ul", "div", "header"], ["menu", "nav", "navbar", "navigation", "breadcrumb", "topbar"]),
@@ -418,21 +557,13 @@ _OTHER_ELEMENTS = {"nav", "aside", "footer", "form", "header", "title", "button"
 _OTHER_NAMES = {name for _, names in _PARTS.values() for name in names}
 
 
-def evident_labels(page: list[tuple[str, tuple[str, ...], float]]) -> np.ndarray | None:
+def evident_labels(page: list[Block]) -> np.ndarray | None:
     """Labels of a page's blocks where its own elements tell them; None for other pages.
 
     A block is evident main text inside an article or main element, unless an element inside of that
     is named as something else.
     """
-    labels = []
-    for _, path, _ in page:
-        tags = [names.split(" ") for names in path]
-        inside = [i for i, names in enumerate(tags) if names[0] in _MAIN_ELEMENTS]
-        below = tags[inside[0] + 1 :] if inside else []
-        labels.append(
-            bool(inside)
-            and not any(n[0] in _OTHER_ELEMENTS or _OTHER_NAMES & set(n[1:]) for n in below)
-        )
+    labels = [path.in_main and not path.in_other for _, path, _ in page]
     return np.array(labels, np.float32) if any(labels) else None
 
 
@@ -442,7 +573,7 @@ def train(
     """Learn from a bounded sample of pages and from generated layouts filled with their words.
 
     The sample is at most ``sample_pages`` distinct pages of at most 200,000 characters, by the order
-    of a hash. Those with article or main elements are examples themselves. ``layouts`` pages of
+    of a hash. Those with article or main elements and at most 2,000 blocks are examples themselves. ``layouts`` pages of
     random structure, whose labels are known, teach the parts that these pages don't show.
     """
     usable = pages.select(F.col(html_column).cast("string").alias("page")).where(
@@ -456,7 +587,7 @@ def train(
         for text, _, _ in found:
             known.update(text.split(" ")[:300])
         labels = evident_labels(found)
-        if labels is not None:
+        if labels is not None and len(found) <= _SAMPLE_BLOCKS:
             examples.append((vectors(found), labels))
     words_ = sorted(known)[: 50_000] or ["word", "text", "page"]
     for _ in range(layouts):
@@ -474,12 +605,30 @@ def train(
 
 def main_text(model: Labeller, pages: list[str | None]) -> list[str]:
     """Main text of each page: the blocks labelled so, in page order, joined by single spaces."""
-    split = [blocks(p) for p in pages]
-    chosen = label(model, [vectors(p) if p else np.zeros((0, INPUTS), np.float32) for p in split])
-    return [
-        " ".join(text for (text, _, _), p in zip(page, ps, strict=True) if p >= 0.5)
-        for page, ps in zip(split, chosen, strict=True)
-    ]
+    out: list[str] = []
+    some: list[list[Block]] = []
+
+    def finish() -> None:
+        for page, chosen in zip(some, label(model, [vectors(p) for p in some]), strict=True):
+            out.append(" ".join(text for (text, _, _), p in zip(page, chosen, strict=True) if p >= 0.5))
+        some.clear()
+
+    held = 0
+    for page in pages:
+        found = blocks(page)
+        held += len(found)
+        if held > 4 * _BATCH_BLOCKS:
+            finish()
+            held = len(found)
+        if len(found) > _BATCH_BLOCKS:
+            chosen = label_long(model, found)
+            finish()
+            out.append(" ".join(text for (text, _, _), p in zip(found, chosen, strict=True) if p >= 0.5))
+            held = 0
+        else:
+            some.append(found)
+    finish()
+    return out
 
 
 def extract(pages: DataFrame, model: Labeller, html_column: str = "html") -> DataFrame:

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -39,6 +40,47 @@ def test_paths_and_links():
     assert (text, path, share) == ("home", ("div top nav bar x",), 1.0)
 
 
+@pytest.mark.parametrize(
+    "unit,tail",
+    [
+        ("<a ", ""), ("<a<a", ""), ('<a "', ""), ("<a '\" ", ""), ("<div>", "x"), ("<div>x", "</i></foo>" * 9),
+        ("<svg/>", "x"), ("<li>x<b>", ""), ("<b><p>x</b>", ""), ("<!-- ", ""), ("<div>x", "</foo>" * 90_000),
+    ],
+)
+def test_time_grows_with_the_page(unit, tail):
+    """Some 0.2 s here for 200 000 characters; the square of it would be minutes."""
+    started = time.process_time()
+    hb.blocks(unit * (200_000 // len(unit)) + tail)
+    assert time.process_time() - started < 5
+
+
+def test_unclosed_tags_are_text_and_closed_ones_are_found_behind_them():
+    assert texts("<a <b \"<p>x") == ['<a <b "', "x"]
+    assert texts("<p title='>x</p><i \">y") == ["<p title='>x", '<i ">y']
+    assert texts("<script><a '</script><p>in</p>") == ["in"]
+
+
+def test_references_of_very_many_digits():
+    assert texts("&#" + "9" * 6000 + "; &#" + "0" * 6000 + "65;") == ["\ufffd A"]
+
+
+def test_paths_share_what_is_around_them():
+    outer, inner = (path for _, path, _ in hb.blocks("<div id=a>x<section>y"))
+    assert inner.outer is outer and list(inner) == ["div a", "section"] and len(inner) == 2
+
+
+def test_long_pages_are_read_in_slices(monkeypatch):
+    page = hb.blocks("".join(f"<p class=c{n % 7}>word {n}" + ".</p>" * (n % 3) for n in range(500)))
+    model = hb.Labeller.start(3)
+    want = hb.label(model, [hb.vectors(page)])[0]
+    monkeypatch.setattr(hb, "_BATCH_BLOCKS", 64)
+    np.testing.assert_allclose(hb.label_long(model, page), want, atol=1e-5)
+    source = "<p>a. </p>" * 100
+    assert hb.main_text(model, [source, None, "<p>b", source, "<p>b"]) == [
+        t for p in (source, None, "<p>b", source, "<p>b") for t in hb.main_text(model, [p])
+    ]
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(2)
     model = hb.Labeller.start(1)
