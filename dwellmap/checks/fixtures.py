@@ -113,6 +113,27 @@ def delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def border_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stop per event, a few minutes after the user's last one: groups of four lie across a state border, and
+    every seventh stop is so long that it reaches into the next group."""
+    turn = F.floor(F.col("event_id") / 50)
+    walked = [F.when(n % 4 == 0, 30.0).otherwise(0.0) for n in (turn, turn + 1)]
+    begin = F.lit("2024-02-01").cast("timestamp") + F.make_dt_interval(
+        secs=(turn * 540 + (turn * turn) % 5 * 60).cast("decimal(18,6)")
+    )
+    minutes = F.when(turn % 7 == 0, 70).otherwise(4 + turn % 3)
+    return _events(spark, sf_dir).select(
+        F.format_string("user%02d", F.col("event_id") % 50).alias("userId"),
+        F.when(turn % 3 == 0, "NJ").otherwise("PA").alias("state"),
+        (F.lit(40.0) + F.floor(turn / 4) % 9 * 0.001 + turn % 4 * 0.00001).alias("latitude"),
+        F.lit(-75.0).alias("longitude"),
+        begin.alias("begin"),
+        (begin + F.make_dt_interval(mins=minutes.cast("int"))).alias("end"),
+        walked[0].alias("prev_travelled_distance"),
+        walked[1].alias("next_travelled_distance"),
+    )
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pings as the strings of a delivery file, with malformed, inaccurate and stale rows added."""
     first = F.col("k") == 0

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from dwellmap.checks.fixtures import STATE_CELLS, ZONE_CELLS, _values
 
-_R2 = "12745590.0::DOUBLE"
+# Fixed value: twice the radius of the sphere, in metres.
+_R2 = f"{2 * 6372.795 * 1000}::DOUBLE"
 
 
 def _hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
@@ -268,7 +269,7 @@ _CTE: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def _flagged(day_rule: str) -> str:
+def _flagged(day_rule: str, source: str = "stops") -> str:
     return f"""
         SELECT *, CASE WHEN ((pn <> prev_td) OR prev_td > 0 OR pn > 0 OR jump > 70
                     OR (dayofyear(b) - dayofyear(pe) {day_rule} AND hour(b) < 6))
@@ -276,7 +277,7 @@ def _flagged(day_rule: str) -> str:
         FROM (SELECT *, coalesce({_hav('pla', 'plo', 'radians(latitude)', 'radians(longitude)')}, 0) AS jump
               FROM (SELECT *, lag(coalesce(next_td, 0)) OVER w AS pn, lag(e) OVER w AS pe,
                       lag(radians(latitude)) OVER w AS pla, lag(radians(longitude)) OVER w AS plo
-                    FROM stops WINDOW w AS (PARTITION BY userId ORDER BY b, e, latitude, longitude)))
+                    FROM {source} WINDOW w AS (PARTITION BY userId ORDER BY b, e, latitude, longitude)))
         """
 
 
@@ -289,21 +290,37 @@ def _merged(flagged: str, by_state: bool) -> str:
         """
 
 
+_REPAIRED = """
+    SELECT * REPLACE (CASE WHEN epoch(nb) - epoch(b) > 600 AND nb < e
+                      THEN nb - INTERVAL 300 SECOND ELSE e END AS e)
+    FROM (SELECT *, lead(b) OVER (PARTITION BY userId ORDER BY b, e, latitude, longitude) AS nb FROM {})
+    """
+
 _CTE.update(
     {
+        "border_stops": (
+            (),
+            """
+            SELECT printf('user%02d', event_id % 50) AS userId, CASE WHEN n % 3 = 0 THEN 'NJ' ELSE 'PA' END AS state,
+              CAST(40.0 AS DOUBLE) + (n // 4) % 9 * CAST(0.001 AS DOUBLE) + n % 4 * CAST(0.00001 AS DOUBLE) AS latitude,
+              CAST(-75.0 AS DOUBLE) AS longitude, b,
+              b + to_minutes(CAST(CASE WHEN n % 7 = 0 THEN 70 ELSE 4 + n % 3 END AS BIGINT)) AS e,
+              CAST(CASE WHEN n % 4 = 0 THEN 30 ELSE 0 END AS DOUBLE) AS prev_td,
+              CAST(CASE WHEN (n + 1) % 4 = 0 THEN 30 ELSE 0 END AS DOUBLE) AS next_td
+            FROM (SELECT event_id, n, TIMESTAMP '2024-02-01' + to_seconds(CAST(n * 540 + (n * n) % 5 * 60 AS BIGINT)) AS b
+                  FROM (SELECT event_id, event_id // 50 AS n FROM events))
+            """,
+        ),
+        "flagged_border": (("border_stops",), _flagged("= 1", "border_stops")),
+        "merged_border": (("flagged_border",), _merged("flagged_border", False)),
+        "merged_border_state": (("flagged_border",), _merged("flagged_border", True)),
+        "repaired_border": (("merged_border",), _REPAIRED.format("merged_border")),
         "flagged": (("stops",), _flagged("= 1")),
         "flagged_v3": (("stops",), _flagged("> 0")),
         "merged": (("flagged",), _merged("flagged", False)),
         "merged_v5": (("flagged",), _merged("flagged", True)),
         "merged_v3": (("flagged_v3",), _merged("flagged_v3", True)),
-        "repaired": (
-            ("merged",),
-            """
-            SELECT * REPLACE (CASE WHEN epoch(nb) - epoch(b) > 600 AND nb < e
-                              THEN nb - INTERVAL 300 SECOND ELSE e END AS e)
-            FROM (SELECT *, lead(b) OVER (PARTITION BY userId ORDER BY b, e, latitude, longitude) AS nb FROM merged)
-            """,
-        ),
+        "repaired": (("merged",), _REPAIRED.format("merged")),
     }
 )
 
@@ -582,3 +599,19 @@ ORACLES["resumed_backfill"] = _query(
 )
 ORACLES["pending_from_listing"] = ORACLES["pending_partitions"]
 ORACLES["screened_scan"] = ORACLES["scan_tsv"]
+ORACLES["merge_border_stops"] = _query("merged_border_state", *_MERGED)
+ORACLES["repair_border_stops"] = _query("repaired_border", *_MERGED)
+ORACLES["ingest_run"] = _query(
+    "typed", "source AS table_name", "count(*) AS count_line_input",
+    "count(*) FILTER (WHERE kept) AS count_line_output", "true AS timed", tail="GROUP BY source",
+)
+ORACLES["near_points"] = _query(
+    f"""(
+      SELECT p.ping, count(u.userId) FILTER (WHERE apart <= 1500) AS n_near,
+        min({{'m': round(apart, 3), 'other': u.userId}}) FILTER (WHERE apart <= 1500) AS near
+      FROM (SELECT event_id * 6 + k AS ping, radians(latitude) AS la, radians(longitude) AS lo FROM pings) p,
+        (SELECT userId, radians(min(latitude)) AS la, radians(min(longitude)) AS lo FROM pings GROUP BY userId) u,
+        LATERAL (SELECT {_hav('p.la', 'p.lo', 'u.la', 'u.lo')} AS apart)
+      GROUP BY p.ping)""",
+    "ping", "n_near", "near.other AS nearest", "near.m AS nearest_m", tables=("pings",),
+)

@@ -12,14 +12,14 @@ from pyspark.sql import types as T
 from dwellmap import schemas
 from dwellmap.checks import fixtures
 from dwellmap.functions.geo import geohash
-from dwellmap.operators import activity, clustering, ingest, merging, places, stops, trajectory
+from dwellmap.operators import activity, clustering, ingest, merging, places, proximity, stops, trajectory
 from dwellmap.plans import ledger, mobility
 from dwellmap.session import materialise, prepare, scratch_path
 from dwellmap.sources import screening, sinks, tables, user_tables
 
 _METRES = {
     "distance", "distance_next", "distance_prev", "dist_sum", "after_stop_distance", "pair_sum_m",
-    "diameter_m", "prev_travelled_distance", "next_travelled_distance",
+    "diameter_m", "prev_travelled_distance", "next_travelled_distance", "nearest_m",
 }
 _DEGREES = {
     "latitude", "longitude", "clusterLatitude", "clusterLongitude", "medoid_lat", "medoid_lon",
@@ -195,6 +195,17 @@ def ingest_stats(spark, sf_dir):
     return ingest.ingest_stats(fixtures.raw(spark, sf_dir))
 
 
+@_query()
+def ingest_run(spark, sf_dir):
+    """Counts and times of an ingest, from the file it leaves."""
+    delivered, stats = scratch_path(spark, "delivered"), scratch_path(spark, "stats")
+    raw = tables.scan_tsv(spark, _raw_files(spark, sf_dir))
+    sinks.run_ingest(raw, delivered, stats, by_prefix=False)
+    read = spark.read.schema(schemas.INGEST_STATS).option("header", True).csv(stats)
+    timed = (F.col("end_time") > F.col("start_time")).alias("timed")
+    return read.select("table_name", "count_line_input", "count_line_output", timed)
+
+
 @_query(*_PING, "source", *_YMD, "prefix", "delivery_day")
 def write_delivered(spark, sf_dir):
     path = scratch_path(spark, "delivered")
@@ -418,6 +429,17 @@ def resumed_backfill(spark, sf_dir):
     return runs.join(rows, ["stage", "day"], "left").fillna(0, ["n_rows"])
 
 
+@_query()
+def near_points(spark, sf_dir):
+    """For every ping, the users who start within 1 500 m of it, and the nearest."""
+    pings = fixtures.keyed_pings(spark, sf_dir)
+    starts = pings.groupBy("userId").agg(
+        F.min("latitude").alias("latitude"), F.min("longitude").alias("longitude")
+    )
+    keyed = pings.withColumn("ping", F.col("event_id") * 6 + F.col("k"))
+    return proximity.near_points(keyed, starts, 1500, "ping", "userId", cell_limit=2)
+
+
 # --- activity hours ------------------------------------------------------------------------------
 
 
@@ -462,6 +484,18 @@ def repair_overlaps(spark, sf_dir):
     return _repaired(spark, sf_dir)
 
 
+@_query(*_MERGED)
+def merge_border_stops(spark, sf_dir):
+    """Groups that lie across a state border are split there."""
+    return merging.merge_stops(fixtures.border_stops(spark, sf_dir), by_state=True)
+
+
+@_query(*_MERGED)
+def repair_border_stops(spark, sf_dir):
+    """Groups that reach into the next one are cut."""
+    return merging.repair_overlaps(merging.merge_stops(fixtures.border_stops(spark, sf_dir)))
+
+
 @_query(*_MERGED)
 def user_table_merge(spark, sf_dir):
     """Merging and repair on a table bucketed by user, opened anew."""

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dwellmap.operators.ingest import ingest, ingest_stats, keep_first
+from dwellmap.operators.ingest import ingest, ingest_condition, ingest_stats, keep_first, source_tag
 from dwellmap.sources.tables import scan_table
 
 PING_PARTITIONS = ("year", "month", "day", "prefix")
@@ -187,14 +189,62 @@ def pending_partitions(wanted: DataFrame, existing: DataFrame) -> DataFrame:
     return wanted.distinct().join(existing.distinct(), wanted.columns, "left_anti")
 
 
+def _days_of_files(raw: DataFrame) -> list[str]:
+    """Delivery days of a scan, from the names of its folders."""
+    found = (re.search(r"/delivery_day=(\d{4}-\d\d-\d\d)/", file) for file in raw.inputFiles())
+    return sorted({day[1] for day in found if day})
+
+
+def _counters(days: list[str], kept: Column) -> list[Column]:
+    """How many rows of each delivery came in, and how many of these are kept."""
+    of_day = [(day, F.col("delivery_day") == F.lit(day).cast("date")) for day in days]
+    return [
+        F.count_if(here & also).alias(f"{side} {day}")
+        for side, also in (("in", F.lit(True)), ("out", kept))
+        for day, here in of_day
+    ]
+
+
 def run_ingest(
-    raw: DataFrame, path_out: str, stats_path: str, country: str = "US", files: int | None = None, **limits
+    raw: DataFrame,
+    path_out: str,
+    stats_path: str,
+    country: str = "US",
+    files: int | None = None,
+    by_prefix: bool = True,
+    **limits,
 ) -> None:
-    """Ingest raw deliveries, write the delivered table, and a CSV with the row counts."""
+    """Ingest raw deliveries, write the delivered table, and a CSV with the row counts.
+
+    The raw text is read once: rows are counted as they pass on the way to the writer. As tasks that run
+    again may add to such counts twice, the rows kept are compared with what the footers of the written files
+    say; where they differ, all is counted anew by a scan. A raw table that wasn't read from folders named
+    by delivery day is counted by a scan as well.
+    """
+    days = _days_of_files(raw)
+    kept = F.coalesce(ingest_condition(**limits), F.lit(False))
+    counts = Observation()
+    counted = raw.observe(counts, *_counters(days, kept)) if days else raw
     started = time.time()
-    write_delivered(ingest(raw, country, **limits), path_out, files=files)
+    write_delivered(ingest(counted, country, **limits), path_out, files=files, by_prefix=by_prefix)
     ended = time.time()
-    stats = ingest_stats(raw, country, **limits).withColumns(
-        {"start_time": F.lit(started), "end_time": F.lit(ended)}
-    )
+    stats = _counted_stats(raw.sparkSession, path_out, days, counts.get, country) if days else None
+    if stats is None:
+        stats = ingest_stats(raw, country, **limits)
+    stats = stats.withColumns({"start_time": F.lit(started), "end_time": F.lit(ended)})
     stats.coalesce(1).write.mode("overwrite").option("header", True).csv(stats_path)
+
+
+def _counted_stats(
+    spark: SparkSession, path: str, days: list[str], counts: dict[str, int], country: str
+) -> DataFrame | None:
+    """The counts per delivery, None where the rows counted as kept are not those written."""
+    kept = {day: counts[f"out {day}"] for day in days if counts[f"out {day}"]}
+    folders = [f"{path.rstrip('/')}/delivery_day={day}" for day in kept]
+    # Only partition columns are asked for, so Spark reads no more than the footers.
+    written = spark.read.option("basePath", path).parquet(*folders).groupBy("delivery_day").count() if kept else None
+    if written is not None and {str(r[0]): r[1] for r in written.collect()} != kept:
+        return None
+    rows = [(dt.date.fromisoformat(day), counts[f"in {day}"], counts[f"out {day}"]) for day in days]
+    counted = spark.createDataFrame(rows, "delivery_day date, count_line_input long, count_line_output long")
+    return counted.select(source_tag(country).alias("table_name"), "count_line_input", "count_line_output")

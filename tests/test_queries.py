@@ -26,5 +26,16 @@ def test_query_matches_oracle(spark, con, name):
     assert differences(got, want) is None
 
 
+def test_border_stops_exercise_splitting_and_repair(con):
+    """Groups are split at the border, and ends are cut: the oracles differ from what they start from."""
+    merged, repaired = (
+        con.execute(ORACLES[name]).df()
+        for name in ("merge_border_stops", "repair_border_stops")
+    )
+    plain = con.execute(ORACLES["repair_border_stops"].replace("FROM repaired_border", "FROM merged_border")).df()
+    assert len(merged) > len(plain) == len(repaired)
+    assert (repaired.sort_values(["userId", "begin"])["end"].values != plain.sort_values(["userId", "begin"])["end"].values).mean() > 0.1
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0

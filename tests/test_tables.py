@@ -159,6 +159,26 @@ def test_run_ingest_writes_table_and_counts(spark, tmp_path):
     assert stats.agg(F.sum("count_line_output")).first()[0] == tables.scan_table(spark, str(tmp_path / "delivered")).count()
 
 
+@pytest.mark.parametrize("case", ["once", "added twice", "nothing kept"])
+def test_ingest_counts_on_the_way_to_the_writer(spark, tmp_path, monkeypatch, case):
+    raw = fixtures.raw(spark, SF_DIR).where("delivery_day <= '2024-01-03'")
+    raw.write.partitionBy("delivery_day").option("sep", "\t").csv(str(tmp_path / "raw"))
+    scan = tables.scan_tsv(spark, str(tmp_path / "raw"))
+    limits = {"max_accuracy": -100.0} if case == "nothing kept" else {}
+    want = sorted(tuple(r) for r in ingest.ingest_stats(scan, **limits).collect())
+    recounted = []
+    monkeypatch.setattr(sinks, "ingest_stats", lambda *a, **k: recounted.append(1) or ingest.ingest_stats(*a, **k))
+    if case == "added twice":
+        counters = sinks._counters
+        monkeypatch.setattr(sinks, "_counters", lambda *a: [(2 * c).alias(f"{s} {d}") for c, (s, d) in zip(
+            counters(*a), [(s, d) for s in ("in", "out") for d in a[0]])])
+    sinks.run_ingest(scan, str(tmp_path / "out"), str(tmp_path / "stats"), by_prefix=False, files=2, **limits)
+    stats = spark.read.schema(schemas.INGEST_STATS).option("header", True).csv(str(tmp_path / "stats")).collect()
+    assert sorted(tuple(r)[:3] for r in stats) == want and len(want) > 1
+    assert all(r.end_time > r.start_time for r in stats)
+    assert bool(recounted) == (case == "added twice")
+
+
 def test_first_delivery_wins_within_the_window(spark):
     rows = [("a", "2024-01-05 10:00:00", 1.0, f"2024-{d}", d) for d in ("01-03", "01-04", "01-05", "02-04", "02-05")]
     rows += [("b", "2024-01-05 10:00:00", 1.0, "2024-02-05", "late"), ("a", "2024-01-05 10:00:00", 2.0, "2024-01-09", "other")]
