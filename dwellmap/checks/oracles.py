@@ -615,3 +615,4 @@ ORACLES["near_points"] = _query(
       GROUP BY p.ping)""",
     "ping", "n_near", "near.other AS nearest", "near.m AS nearest_m", tables=("pings",),
 )
+ORACLES["detect_stops_sql"] = ORACLES["detect_stops"]

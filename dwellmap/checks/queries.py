@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from dwellmap import schemas
 from dwellmap.checks import fixtures
 from dwellmap.functions.geo import geohash
+from dwellmap.functions.tables import register_stop_function
 from dwellmap.operators import activity, clustering, ingest, merging, places, proximity, stops, trajectory
 from dwellmap.plans import ledger, mobility
 from dwellmap.session import materialise, prepare, scratch_path
@@ -345,7 +346,7 @@ def pairwise_distance(spark, sf_dir):
 
 @_query(*_STOP_KEY, "diameter_m")
 def stop_diameter(spark, sf_dir):
-    return stops.stop_geometry(_tracks(spark, sf_dir))
+    return stops.stop_diameters(_tracks(spark, sf_dir))
 
 
 @_query(*_STOP_KEY, "medoid_lat", "medoid_lon")
@@ -364,6 +365,27 @@ def detect_stops(spark, sf_dir):
     return trajectory.to_degrees(stops.detect_stops(_tracks(spark, sf_dir)))
 
 
+@_query(
+    *_STOP_KEY, "latitude", "longitude", "begin", "end", "personal_area", "distance", "geohash6",
+    "after_stop_distance", "dist_sum",
+)
+def detect_stops_sql(spark, sf_dir):
+    """Stop detection as a table function in SQL, over single pings."""
+    register_stop_function(spark)
+    pings = trajectory.chunk_day_filter(trajectory.chunks(_steps(spark, sf_dir)))
+    found = spark.sql(
+        """
+        SELECT *, degrees(latitude) AS lat, degrees(longitude) AS lon, timestamp_micros(begin_us) AS begin,
+          timestamp_micros(end_us) AS end
+        FROM detect_stops(TABLE({pings}) PARTITION BY (process_day, userId, chunk) ORDER BY timestamp)
+        """,
+        pings=pings,
+    )
+    return found.withColumns(
+        {"latitude": F.col("lat"), "longitude": F.col("lon"), "geohash6": geohash("lat", "lon", 6)}
+    )
+
+
 @_query(*_STOP)
 def travelled_distance(spark, sf_dir):
     return stops.travelled_distance(stops.detect_stops(_tracks(spark, sf_dir)))

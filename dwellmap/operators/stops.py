@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwellmap.functions.geo import geohash, haversine_m, haversine_np
+from dwellmap.functions.hull import diameter_m
 from dwellmap.operators.trajectory import ROAM_DIST_M, USER_DAY, to_degrees
 
 MIN_STAY_MIN = 5
@@ -260,6 +261,35 @@ def stop_geometry(
     )
 
 
+def stop_diameters(
+    tracks: DataFrame, roam_dist: float = ROAM_DIST_M, min_stay: float = MIN_STAY_MIN
+) -> DataFrame:
+    """Largest distance between two pings of each stop, by the hull of its pings: no pairs are compared."""
+    stay_us = int(min_stay * 60_000_000)
+
+    @F.arrow_udf("array<struct<serial:int,diameter_m:double>>")
+    def measure(
+        at: pa.Array, lat: pa.Array, lon: pa.Array, step: pa.Array, personal: pa.Array, midnight: pa.Array
+    ) -> pa.Array:
+        out = []
+        for track, day in zip(
+            _tracks([at, lat, lon, step, personal]), midnight.to_numpy(zero_copy_only=False)
+        ):
+            rows = []
+            for serial, _, _, begin, end, *_ in _walk(track, day, roam_dist, stay_us, True, False):
+                members = slice(*np.searchsorted(track[0], [begin, end + 1]))
+                rows.append((serial, diameter_m(track[1][members], track[2][members])))
+            out.append(rows)
+        return _list_of_structs(out, pa.struct([("serial", pa.int32()), ("diameter_m", pa.float64())]))
+
+    gps = F.col("gpsdata")
+    return (
+        tracks.where(F.size("gpsdata") >= 2)
+        .withColumn("stops", measure(*[gps[f] for f in _TRACK_FIELDS], _next_midnight_us()))
+        .select(*USER_DAY, "chunk", F.inline("stops"))
+    )
+
+
 def distance_to_point(df: DataFrame, latitude: float, longitude: float) -> DataFrame:
     """Metres from every row's position to one point, all in degrees."""
     there = (F.radians(F.lit(float(latitude))), F.radians(F.lit(float(longitude))))

@@ -4,10 +4,13 @@ import datetime as dt
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from dwellmap.checks import fixtures
 from dwellmap.functions.geo import EARTH_RADIUS_M, haversine_np
+from dwellmap.functions.tables import register_stop_function
 from dwellmap.operators import stops, trajectory
 from dwellmap.plans import mobility
 
@@ -177,3 +180,30 @@ def test_result_does_not_depend_on_partitioning(spark):
     frame = pings(spark, rows).repartition(7, "timestamp")
     other = stops.travelled_distance(stops.detect_stops(mobility.tracks(frame)))
     assert one == other.orderBy("userId", "begin").collect()
+
+
+def test_table_function_finds_the_stops_of_detect_stops(spark):
+    """Also when a trajectory reaches Python in several batches, and with other rules than the default."""
+    pings = fixtures.pings(spark, "/root/testdata/sf0.001")
+    steps = trajectory.step_distance(trajectory.user_days(pings))
+    chunked = trajectory.chunk_day_filter(trajectory.chunks(steps))
+    columns = ["process_day", "userId", "chunk", "serial", "latitude", "longitude", "distance", "dist_sum"]
+    want = stops.detect_stops(trajectory.trajectories(chunked), roam_dist=120, min_stay=4).select(columns)
+    register_stop_function(spark, "stops_of", roam_dist=120, min_stay=4)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = spark.sql(
+            "SELECT * FROM stops_of(TABLE({pings}) PARTITION BY (process_day, userId, chunk) ORDER BY timestamp)",
+            pings=chunked,
+        ).select(columns).toPandas()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = want.toPandas()
+    order = columns[:4]
+    pd.testing.assert_frame_equal(
+        got.sort_values(order).reset_index(drop=True),
+        want.sort_values(order).reset_index(drop=True),
+        check_dtype=False, rtol=1e-9,
+    )
+    assert got["serial"].notna().any() and got["serial"].isna().any()
