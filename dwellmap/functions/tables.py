@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from dwellmap.operators.stops import _STOP_ARROW, _TRACK_FIELDS, MIN_STAY_MIN, _walk
 from dwellmap.operators.trajectory import ROAM_DIST_M
 
-_EPOCH = dt.date(1970, 1, 1)
 _KEY = ("process_day", "userId", "chunk")
 _RETURNS = (
     "process_day date, userId string, chunk int, serial int, latitude double, longitude double, begin_us bigint, "
@@ -21,6 +20,10 @@ _RETURNS = (
 )
 
 
+def _joined(*parts: pa.RecordBatch) -> pa.RecordBatch:
+    return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
 def register_stop_function(
     spark: SparkSession,
     name: str = "detect_stops",
@@ -29,49 +32,80 @@ def register_stop_function(
 ) -> None:
     """Make stop detection callable from SQL as a table function over pings::
 
-        SELECT * FROM detect_stops(TABLE(pings) PARTITION BY (process_day, userId, chunk) ORDER BY timestamp)
+        SELECT * FROM detect_stops(TABLE(
+          SELECT * FROM pings DISTRIBUTE BY process_day, userId SORT BY process_day, userId, chunk, timestamp))
 
     The table holds, besides these columns, ``latitude`` and ``longitude`` in radians, ``distance_prev`` and
-    ``personal_area``; others are not looked at. Spark partitions and sorts it, and a task holds the columns of
-    one trajectory at a time. The rows are those of ``stops.detect_stops``, with times in microseconds: one per
-    stop, and one with null stop columns for a trajectory without stops.
+    ``personal_area``; others are not looked at. The pings of a trajectory must lie in one task, together and in
+    order of time, as above or by ``TABLE(pings) PARTITION BY (process_day, userId, chunk) ORDER BY timestamp``. The
+    latter starts the function anew for every trajectory, which takes several times as long. A task holds one
+    batch of pings and one trajectory at a time. The rows are those of ``stops.detect_stops``, with times in
+    microseconds: one per stop, and one with null stop columns for a trajectory without stops.
     """
     stay_us = int(min_stay * 60_000_000)
 
+    def starts_within(batch: pa.RecordBatch) -> np.ndarray:
+        """Rows, but for the first, at which another trajectory begins."""
+        changed = np.zeros(max(batch.num_rows - 1, 0), bool)
+        for key in _KEY:
+            before, after = batch.column(key)[:-1], batch.column(key)[1:]
+            changed |= pc.fill_null(pc.not_equal(before, after), False).to_numpy(zero_copy_only=False)
+            changed |= pc.not_equal(before.is_null(), after.is_null()).to_numpy(zero_copy_only=False)
+        return np.flatnonzero(changed) + 1
+
     @F.arrow_udtf(returnType=_RETURNS)
     class DetectStops:
         def __init__(self):
+            # The trajectory that may go on in the next batch.
             self.parts: list[pa.RecordBatch] = []
 
         def eval(self, pings: pa.RecordBatch) -> Iterator[pa.Table]:
-            # A trajectory may come in several batches.
-            self.parts.append(pings.select([*_KEY, *_TRACK_FIELDS]))
-            return iter(())
+            batch = pings.select([*_KEY, *_TRACK_FIELDS])
+            if not batch.num_rows:
+                return
+            starts = starts_within(batch)
+            whole = list(self.parts)
+            if len(starts):
+                whole.append(batch.slice(0, starts[-1]))
+                self.parts = [batch.slice(starts[-1])]
+            elif whole and len(starts_within(_joined(whole[-1].slice(whole[-1].num_rows - 1), batch.slice(0, 1)))):
+                self.parts = [batch]
+            else:
+                self.parts.append(batch)
+                return
+            if whole:
+                yield self._stops(whole)
 
         def terminate(self) -> Iterator[pa.Table]:
-            whole = pa.Table.from_batches(self.parts).combine_chunks()
-            if not whole.num_rows:
-                return
+            if self.parts:
+                yield self._stops(self.parts)
+
+        def _stops(self, parts: list[pa.RecordBatch]) -> pa.Table:
+            whole = _joined(*parts)
+            starts = np.concatenate([[0], starts_within(whole)])
+            ends = np.append(starts[1:], whole.num_rows)
             track = [
-                (c.cast(pa.int64()) if pa.types.is_timestamp(c.type) else c).to_numpy()
+                (c.cast(pa.int64()) if pa.types.is_timestamp(c.type) else c).to_numpy(zero_copy_only=False)
                 for c in (whole.column(field) for field in _TRACK_FIELDS)
             ]
-            day, user, chunk = (whole.column(key)[0] for key in _KEY)
-            midnight = ((day.as_py() - _EPOCH).days + 1) * 86_400_000_000
-            at = track[0]
-            found = []
-            if len(at) >= 2 and at[-1] - at[0] >= stay_us:
-                found = _walk(track, midnight, float(roam_dist), stay_us, True, False)
-            found = found or [(None,) * len(_STOP_ARROW)]
-            size = len(found)
-            columns = {
-                "process_day": pa.array([day.as_py()] * size, pa.date32()),
-                "userId": pa.array([user.as_py()] * size, pa.string()),
-                "chunk": pa.array([chunk.as_py()] * size, pa.int32()),
-            }
+            keys = [whole.column(key).take(pa.array(starts)) for key in _KEY]
+            midnights = (keys[0].cast(pa.int32()).to_numpy(zero_copy_only=False) + 1) * np.int64(86_400_000_000)
+            found, owners, metres = [], [], []
+            for row, (start, end) in enumerate(zip(starts.tolist(), ends.tolist())):
+                of_one = [values[start:end] for values in track]
+                at = of_one[0]
+                stops = []
+                if end - start >= 2 and at[-1] - at[0] >= stay_us:
+                    stops = _walk(of_one, midnights[row], float(roam_dist), stay_us, True, False)
+                stops = stops or [(None,) * len(_STOP_ARROW)]
+                found += stops
+                owners += [row] * len(stops)
+                metres += [of_one[3].sum()] * len(stops)
+            owner = pa.array(owners, pa.int64())
+            columns = {key: values.take(owner) for key, values in zip(_KEY, keys)}
             for field, values in zip(_STOP_ARROW, zip(*found, strict=True), strict=True):
                 columns[field.name] = pa.array(values, field.type)
-            columns["dist_sum"] = pa.array(np.full(size, track[3].sum()))
-            yield pa.table(columns)
+            columns["dist_sum"] = pa.array(metres, pa.float64())
+            return pa.table(columns)
 
     spark.udtf.register(name, DetectStops)

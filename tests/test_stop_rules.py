@@ -207,3 +207,29 @@ def test_table_function_finds_the_stops_of_detect_stops(spark):
         check_dtype=False, rtol=1e-9,
     )
     assert got["serial"].notna().any() and got["serial"].isna().any()
+
+
+@pytest.mark.parametrize("batch", ["3", "10000"])
+def test_table_function_reads_many_trajectories_of_a_task(spark, batch):
+    """One instance takes all trajectories of a task, however batches cut them."""
+    pings = fixtures.pings(spark, "/root/testdata/sf0.001").where("hour(timestamp) < 9")
+    chunked = trajectory.chunk_day_filter(trajectory.chunks(trajectory.step_distance(trajectory.user_days(pings))))
+    columns = ["process_day", "userId", "chunk", "serial", "latitude", "longitude", "after_stop_distance", "dist_sum"]
+    want = stops.detect_stops(trajectory.trajectories(chunked)).select(columns).toPandas()
+    register_stop_function(spark)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = spark.sql(
+            "SELECT * FROM detect_stops(TABLE(SELECT * FROM {pings} "
+            "DISTRIBUTE BY process_day, userId SORT BY process_day, userId, chunk, timestamp))",
+            pings=chunked,
+        ).select(columns).toPandas()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    order = columns[:4]
+    pd.testing.assert_frame_equal(
+        got.sort_values(order).reset_index(drop=True),
+        want.sort_values(order).reset_index(drop=True),
+        check_dtype=False, rtol=1e-9,
+    )
