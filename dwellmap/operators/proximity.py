@@ -13,6 +13,7 @@ from dwellmap.functions.geo import EARTH_RADIUS_M, haversine_m
 CELL_LIMIT = 4096
 # Cells are a little larger than the radius, so that rounding cannot push a neighbour two cells away.
 _CELL_GROWTH = 1.001
+_ON_GLOBE = "latitude BETWEEN -90 AND 90 AND longitude BETWEEN -360 AND 360"
 
 
 def _columns_of(row: Column, side: float) -> Column:
@@ -35,8 +36,7 @@ def _column(lon: Column, count: Column) -> Column:
 
 def _points(df: DataFrame, key: str, name: str) -> DataFrame:
     """Key and position in radians of the rows that have a position on the globe."""
-    placed = df.where(F.col("latitude").between(-90, 90) & F.col("longitude").between(-360, 360))
-    return placed.select(
+    return df.where(_ON_GLOBE).select(
         F.col(key).alias(name), F.radians("latitude").alias("lat"), F.radians("longitude").alias("lon")
     )
 
@@ -52,23 +52,29 @@ def near_points(
     The globe is cut into cells at least as wide as the radius. A point of ``others`` stands in one cell, a
     point of ``points`` looks into the at most nine around it, so the join is one on equal cells; cells
     without others drop out before. A cell with more than ``cell_limit`` others is dealt to parts, each
-    looked into. Pairs are counted where they are found, and only counts move on.
+    looked into. Points at one position are one spot on both sides, so the pairs compared are those of different
+    spots, however many points share them. They are counted where they are found, and only counts move on.
 
     Nearness is judged to the millimetre, and of equally near ones the smallest key counts. A point without
     a position, or with none near, has ``n_near`` 0 and no nearest.
     """
     side = radius_m / EARTH_RADIUS_M * _CELL_GROWTH
     row = F.col("row")
-    there = _points(others, other_key, "other").withColumn("row", F.floor(F.col("lat") / side))
+    there = (
+        _points(others, other_key, "other").groupBy("lat", "lon")
+        .agg(F.count("*").alias("here"), F.min("other").alias("other"))
+        .withColumn("row", F.floor(F.col("lat") / side))
+    )
     there = there.withColumn("col", _column(F.col("lon"), _columns_of(row, side)))
     parts = (
         there.groupBy("row", "col").agg(F.count("*").alias("n"))
         .select("row", "col", F.ceil(F.col("n") / cell_limit).alias("parts"))
     )
     dealt = there.join(parts.where("parts > 1"), ["row", "col"], "left").withColumn(
-        "part", F.pmod(F.xxhash64("other", "lat", "lon"), F.coalesce("parts", F.lit(1)))
+        "part", F.pmod(F.xxhash64("lat", "lon"), F.coalesce("parts", F.lit(1)))
     )
-    looked = _points(points, key, "point").withColumn(
+    placed = _points(points, key, "point")
+    looked = placed.select("lat", "lon").distinct().withColumn(
         "row", F.explode(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: F.floor(F.col("lat") / side) + d))
     )
     count = _columns_of(row, side)
@@ -84,18 +90,21 @@ def near_points(
     found = (
         looked.alias("a")
         .join(dealt.alias("b"), ["row", "col", "part"])
-        .select(F.col("a.point").alias("point"), "other", apart.alias("apart"))
+        .select("a.lat", "a.lon", "here", "other", apart.alias("apart"))
         .where(F.col("apart") <= radius_m)
-        .select("point", F.lit(1).alias("hit"), F.struct(F.round("apart", 3).alias("m"), "other").alias("near"))
+        .groupBy("lat", "lon")
+        .agg(F.sum("here").alias("hits"), F.min(F.struct(F.round("apart", 3).alias("m"), "other")).alias("near"))
     )
-    # Points with none near take part as rows without a hit, so the result needs no join back.
-    none = points.select(
-        F.col(key).alias("point"), F.lit(0).alias("hit"), F.lit(None).cast(found.schema["near"].dataType).alias("near")
+    # Points without a position take part as rows without a hit, so the result needs no join back by key.
+    none = points.where(f"NOT coalesce({_ON_GLOBE}, false)").select(
+        F.col(key).alias("point"), *[F.lit(None).cast(found.schema[c].dataType).alias(c) for c in ("hits", "near")]
     )
     return (
-        found.unionByName(none)
+        placed.join(found, ["lat", "lon"], "left")
+        .select("point", "hits", "near")
+        .unionByName(none)
         .groupBy("point")
-        .agg(F.sum("hit").alias("n_near"), F.min("near").alias("near"))
+        .agg(F.coalesce(F.sum("hits"), F.lit(0)).alias("n_near"), F.min("near").alias("near"))
         .select(
             F.col("point").alias(key),
             "n_near",

@@ -66,3 +66,19 @@ def test_joins_by_equality_only(spark, capsys):
     near_points(frame, frame, 100.0, "id", "id").explain("formatted")
     plan = capsys.readouterr().out
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_points_at_one_spot_are_compared_once(spark):
+    """Pairs grow with the spots, not with the points that share them: 10^9 pairs of points here, 4 of spots."""
+    spot = ("40 + id % 2 * 0.001 AS latitude", "-75D AS longitude")
+    here = spark.range(100_000).selectExpr("id", *spot)
+    there = spark.range(10_000).selectExpr("id + 7 AS other", *spot)
+    counts = near_points(here, there, 50.0, "id", "other", cell_limit=2).groupBy("n_near", "nearest", "nearest_m").count()
+    assert {tuple(r) for r in counts.collect()} == {(5000, 8, 0.0, 50_000), (5000, 7, 0.0, 50_000)}
+
+
+def test_a_key_at_two_spots_is_one_row(spark):
+    here = spark.createDataFrame([(1, 40.0, -75.0), (1, 41.0, -75.0), (2, 43.0, 0.0), (2, None, 0.0)], SCHEMA)
+    there = spark.createDataFrame([(5, 40.0, -75.0), (4, 40.0, -75.0), (6, 41.0, -75.0)], "o long, latitude double, longitude double")
+    got = near_points(here, there, 10.0, "id", "o").orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(1, 3, 4, 0.0), (2, 0, None, None)]
