@@ -205,3 +205,15 @@ def test_shared_dir_is_the_one_the_session_names(spark):
 
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_dir(spark) == (named or spark.sparkContext.getCheckpointDir())
+
+
+def test_many_small_partitions_are_written_by_many_tasks(spark, tmp_path):
+    """Small tables too, with one file each, and the session's settings as before."""
+    size = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    rows = spark.range(20_000).selectExpr("id", "id % 200 AS part")
+    sinks.write_table(rows, str(tmp_path / "t"), ("part",), unit=1)
+    files = list((tmp_path / "t").glob("part=*/part-*.parquet"))
+    assert len(files) == 200
+    assert len({f.name.split("-")[1] for f in files}) > 4
+    assert size not in spark.conf.getAll
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 20_000
