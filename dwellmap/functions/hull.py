@@ -83,8 +83,10 @@ def diameter_m(lat: np.ndarray, lon: np.ndarray) -> float:
     centre of the globe, which keeps great circles straight. Points that reach further round the globe than
     such a projection can show are compared with each other.
     """
-    spots = np.unique(np.column_stack((lat, lon)), axis=0)
-    lat, lon = spots[:, 0], spots[:, 1]
+    # Most stops have few pings, whose pairs take less time than sorting them.
+    if len(lat) > _FEW:
+        spots = np.unique(np.column_stack((lat, lon)), axis=0)
+        lat, lon = spots[:, 0], spots[:, 1]
     if len(lat) <= _FEW:
         return _widest_of_all(lat, lon) if len(lat) > 1 else 0.0
     away = np.column_stack((np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)))

@@ -50,3 +50,14 @@ def test_hundred_thousand_points(kind):
 
 def test_repeated_points():
     assert hull.diameter_m(np.full(900, 0.7), np.full(900, -1.3)) == 0.0
+
+
+def test_few_points_are_not_sorted(monkeypatch):
+    """Sorting them took most of a stop's time."""
+    def refuse(*args, **kwargs):
+        raise AssertionError("sorted")
+
+    monkeypatch.setattr("dwellmap.functions.hull.np.unique", refuse)
+    lat, lon = np.radians([40.0, 40.001, 40.0]), np.radians([-75.0, -75.0, -75.0])
+    assert hull.diameter_m(lat, lon) == pytest.approx(111.2, abs=0.1)
+    assert hull.diameter_m(lat[:1], lon[:1]) == 0.0 and hull.diameter_m(lat[[0, 2]], lon[[0, 2]]) == 0.0

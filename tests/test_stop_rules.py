@@ -233,3 +233,16 @@ def test_table_function_reads_many_trajectories_of_a_task(spark, batch):
         want.sort_values(order).reset_index(drop=True),
         check_dtype=False, rtol=1e-9,
     )
+
+
+@pytest.mark.parametrize("figure", [stops.stop_geometry, stops.stop_diameters])
+def test_short_trajectories_do_not_go_to_python(spark, figure):
+    tracks = spark.sql(
+        "SELECT DATE'2024-01-01' AS process_day, 'u' AS userId, 0 AS chunk, transform(sequence(0, 3), n -> named_struct("
+        "'timestamp', timestamp_seconds(1704067200 + n * 60), 'latitude', 0.7D, 'longitude', 1D, "
+        "'distance_prev', 0D, 'personal_area', false)) AS gpsdata"
+    )
+    # Distances that Python could not add show whether it gets them.
+    unread = tracks.withColumn("gpsdata", F.expr("transform(gpsdata, p -> struct(p.timestamp, p.latitude, p.longitude, 'x' AS distance_prev, p.personal_area))"))
+    assert figure(unread).collect() == []
+    assert figure(tracks, min_stay=3).count() == 1
