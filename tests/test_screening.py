@@ -48,3 +48,20 @@ def test_partitions_are_told_by_file_names(spark, tmp_path):
     assert sorted(map(tuple, found.collect())) == [("0", "0"), ("1", "1"), ("2", "0"), ("3", "1")]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "parquet" not in plan.lower() and "content" not in plan
+
+
+def test_spoiling_reads_no_file_into_the_driver(spark, tmp_path):
+    from dwellmap.checks.fixtures import spoil
+
+    folder, limit = str(tmp_path / "raw"), "spark.sql.sources.binaryFile.maxLength"
+    spark.range(5000).selectExpr("id", "id % 2 AS d").write.partitionBy("d").option("compression", "gzip").csv(folder)
+    longest = max((tmp_path / "raw").rglob("part-*.gz"), key=lambda f: (f.stat().st_size, [-ord(c) for c in str(f)]))
+    spark.conf.set(limit, "10")
+    try:
+        spoil(spark, folder)
+    finally:
+        spark.conf.unset(limit)
+    whole = longest.read_bytes()
+    assert (longest.parent / "part-cut.csv.gz").read_bytes() == whole[: len(whole) // 2]
+    assert (longest.parent / "part-empty.csv.gz").read_bytes() == b""
+    assert (longest.parent / "part-foreign.csv.gz").read_bytes() == b"1\t2\n" * 9
