@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from dwellmap.operators.stops import _STOP_ARROW, _TRACK_FIELDS, MIN_STAY_MIN, _walk
+from dwellmap.operators.stops import _STOP_ARROW, _TRACK_FIELDS, MIN_STAY_MIN, _walk_all
 from dwellmap.operators.trajectory import ROAM_DIST_M
 
 _KEY = ("process_day", "userId", "chunk")
@@ -83,29 +83,24 @@ def register_stop_function(
         def _stops(self, parts: list[pa.RecordBatch]) -> pa.Table:
             whole = _joined(*parts)
             starts = np.concatenate([[0], starts_within(whole)])
-            ends = np.append(starts[1:], whole.num_rows)
             track = [
                 (c.cast(pa.int64()) if pa.types.is_timestamp(c.type) else c).to_numpy(zero_copy_only=False)
                 for c in (whole.column(field) for field in _TRACK_FIELDS)
             ]
             keys = [whole.column(key).take(pa.array(starts)) for key in _KEY]
             midnights = (keys[0].cast(pa.int32()).to_numpy(zero_copy_only=False) + 1) * np.int64(86_400_000_000)
-            found, owners, metres = [], [], []
-            for row, (start, end) in enumerate(zip(starts.tolist(), ends.tolist())):
-                of_one = [values[start:end] for values in track]
-                at = of_one[0]
-                stops = []
-                if end - start >= 2 and at[-1] - at[0] >= stay_us:
-                    stops = _walk(of_one, midnights[row], float(roam_dist), stay_us, True, False)
-                stops = stops or [(None,) * len(_STOP_ARROW)]
-                found += stops
-                owners += [row] * len(stops)
-                metres += [of_one[3].sum()] * len(stops)
-            owner = pa.array(owners, pa.int64())
+            bounds = np.append(starts, whole.num_rows)
+            counts, _, found = _walk_all(track, bounds, midnights, float(roam_dist), stay_us)
+            # A trajectory without stops has a row as well, to which no stop belongs.
+            shown = np.maximum(counts, 1)
+            owner = pa.array(np.repeat(np.arange(len(starts)), shown))
+            empty = np.repeat(counts == 0, shown)
+            at = pa.array(np.cumsum(~empty) - 1, mask=empty)
+            metres = np.array([track[3][start:end].sum() for start, end in zip(bounds[:-1], bounds[1:])])
             columns = {key: values.take(owner) for key, values in zip(_KEY, keys)}
-            for field, values in zip(_STOP_ARROW, zip(*found, strict=True), strict=True):
-                columns[field.name] = pa.array(values, field.type)
-            columns["dist_sum"] = pa.array(metres, pa.float64())
+            for field, values in zip(_STOP_ARROW, found, strict=True):
+                columns[field.name] = pa.array(values, field.type).take(at)
+            columns["dist_sum"] = pa.array(metres, pa.float64()).take(owner)
             return pa.table(columns)
 
     spark.udtf.register(name, DetectStops)

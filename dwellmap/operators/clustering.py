@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwellmap.functions.geo import EARTH_RADIUS_M, haversine_m, haversine_np
+from dwellmap.functions.geo import EARTH_RADIUS_M, Beyond, haversine_m, haversine_np
 from dwellmap.functions.graph import connected_components
 from dwellmap.functions.timeline import by_span, with_running_total
 from dwellmap.session import materialise
@@ -35,6 +35,8 @@ _UNKNOWN = "\0"
 # Cells are a little smaller than eps / sqrt(2), so that rounding cannot stretch the diagonal.
 _CELL_SHRINK = 0.999
 _SPLIT = 4
+# Groups of so many stops are compared stop by stop.
+_FEW = 64
 
 
 # --- ordinary users: one Arrow list per user and state ------------------------------------------
@@ -128,16 +130,47 @@ def _lon_reach(lat: float, metres: float) -> float:
     return math.pi if ratio >= 1 else 2 * math.asin(ratio)
 
 
+def _label_all(lat: np.ndarray, lon: np.ndarray, bounds: np.ndarray, eps: float) -> np.ndarray:
+    """Place numbers of the stops of many groups, one after another.
+
+    In groups of up to ``_FEW`` stops all pairs are compared, of all such groups at once; cells are for larger ones.
+    """
+    starts, sizes = bounds[:-1], np.diff(bounds)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    few = sizes <= _FEW
+    few[owner[np.isnan(lat) | np.isnan(lon)]] = False
+    root, beyond = np.arange(len(lat)), Beyond(lat, lon, eps)
+    room = np.where(few, starts, bounds[1:])[owner]
+    at, back, pairs = np.flatnonzero(root > room), 1, []
+    while len(at):
+        near = at[~beyond(at - back, at)]
+        pairs.append((near - back, near))
+        back += 1
+        at = at[at - back >= room[at]]
+    left, right = (np.concatenate([p[k] for p in pairs] or [root[:0]]) for k in (0, 1))
+    while (root[left] != root[right]).any():
+        # The smaller root goes to both stops and to the larger root, then every stop takes its root's root.
+        least, most = np.minimum(root[left], root[right]), np.maximum(root[left], root[right])
+        np.minimum.at(root, most, least)
+        for _ in range(_FEW.bit_length()):
+            root = root[root]
+    # A root is the smallest index of its set, so counting roots numbers by first appearance.
+    number = np.cumsum(root == np.arange(len(root)))
+    labels = (number[root] - number[starts[owner]]).astype(np.int32)
+    for group in np.flatnonzero(~few):
+        span = slice(bounds[group], bounds[group + 1])
+        labels[span] = _label(lat[span], lon[span], eps)
+    return labels
+
+
 def _small_groups(stops: DataFrame, eps_m: float) -> DataFrame:
     @F.arrow_udf("array<int>")
     def label(lats: pa.Array, lons: pa.Array) -> pa.Array:
-        offsets = lats.offsets.to_numpy()
-        lat = lats.values.to_numpy(zero_copy_only=False)
-        lon = lons.values.to_numpy(zero_copy_only=False)
-        labels = [_label(lat[a:b], lon[a:b], eps_m) for a, b in zip(offsets, offsets[1:])]
-        lengths = np.concatenate([[0], np.cumsum([len(x) for x in labels])]).astype(np.int32)
-        values = np.concatenate(labels) if labels else np.empty(0, dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(lengths), pa.array(values, type=pa.int32()))
+        sizes = lats.value_lengths().to_numpy(zero_copy_only=False)
+        bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        lat, lon = (values.flatten().to_numpy(zero_copy_only=False) for values in (lats, lons))
+        labels = _label_all(lat, lon, bounds, eps_m)
+        return pa.ListArray.from_arrays(pa.array(bounds, type=pa.int32()), pa.array(labels, type=pa.int32()))
 
     listed = stops.groupBy(*GROUP).agg(
         F.array_sort(F.collect_list(F.struct(*STOP_ORDER))).alias("stops")

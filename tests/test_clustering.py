@@ -142,3 +142,16 @@ def test_a_hot_star_is_split(spark):
     edges = spark.range(1, 60_001).selectExpr("'k' AS key", "id AS u", "0L AS v")
     found = graph.connected_components(edges, ["key"])
     assert found.where("component <> 0").count() == 0 and found.count() == 60_000
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_many_groups_at_once_agree_with_each_by_cells(seed):
+    rng = np.random.default_rng(seed)
+    groups = []
+    for size in rng.choice([0, 1, 2, 9, 64, 65, 100], 20):
+        lat = 0.7 + rng.choice([rng.normal(0, 2e-5, size), rng.permutation(size) * 1e-5], axis=0)
+        lon = np.pi * rng.choice([-1, 1], size) - rng.normal(0, 1e-6, size)
+        groups.append((lat, lon))
+    bounds = np.cumsum([0, *(len(lat) for lat, _ in groups)])
+    got = clustering._label_all(*(np.concatenate(axis) for axis in zip(*groups)), bounds, 65)
+    assert got.tolist() == np.concatenate([clustering._label(*group, 65) for group in groups]).tolist()

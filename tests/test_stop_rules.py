@@ -174,6 +174,51 @@ def test_walk_agrees_with_brute_force(seed):
     assert [(s[3], s[4]) for s in found] == brute_force(at, lat, lon, 70.0, 300_000_000)
 
 
+def scan(at, lat, lon, step, midnight):
+    """Walked metres before and after each stop, ping by ping."""
+    runs = brute_force(at, lat, lon, 70.0, 300_000_000)
+    opens, found, walked, i = {a: b for a, b in runs}, [], 0.0, 0
+    while i < len(at):
+        if at[i] < midnight:
+            walked += step[i]
+        if not (at >= at[i] + 300_000_000).any():
+            break
+        if at[i] in opens:
+            if found and at[i] > midnight:
+                found[-1][1] += stops.KEEP_APART_M
+                walked = 0.0
+                break
+            found.append([walked, 0.0])
+            walked, i = 0.0, int(np.flatnonzero(at == opens[at[i]])[0])
+        i += 1
+    if found:
+        found[-1][1] += walked
+    return found
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_many_trajectories_at_once_agree_with_each_alone(seed):
+    rng = np.random.default_rng(seed)
+    tracks, midnights = [], []
+    for _ in range(40):
+        n = rng.choice([0, 1, 3, 12, 60])
+        at = np.cumsum(rng.integers(30, rng.choice([90, 400]), n)) * 1_000_000
+        north = rng.choice([rng.normal(0, 25, n), np.cumsum(rng.normal(0, 12, n))], axis=0) / EARTH_RADIUS_M
+        tracks.append([at, 0.7 + north, np.full(n, -1.3), rng.random(n) * 30, rng.random(n) < 0.2])
+        midnights.append(rng.integers(0, 6000) * 1_000_000)
+    bounds = np.cumsum([0, *(len(t[0]) for t in tracks)])
+    flat = [np.concatenate(columns) for columns in zip(*tracks)]
+    counts, _, found = stops._walk_all(flat, bounds, np.array(midnights), 70.0, 300_000_000)
+    rows = iter(zip(*(column.tolist() for column in found)))
+    for track, midnight, count in zip(tracks, midnights, counts):
+        at, lat, lon, step, personal = track
+        got = [next(rows) for _ in range(count)]
+        assert [list(row[6:]) for row in got] == scan(at, lat, lon, step, midnight)
+        assert [row[0] for row in got] == list(range(count))
+        assert [row[5] for row in got] == [personal[(at >= r[3]) & (at <= r[4])].any() for r in got]
+    assert next(rows, None) is None
+
+
 def test_result_does_not_depend_on_partitioning(spark):
     rows = [ping(f"{h}:{m:02d}", 30 * ((h * 60 + m) // 17), user=f"u{u}") for u in range(3) for h in (9, 10) for m in range(0, 60, 3)]
     one = travelled(spark, rows)
