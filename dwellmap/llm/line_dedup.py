@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwellmap.session import materialise
+from dwellmap.session import discard, materialise
 
 def _trimmed(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\r\f\v"))
@@ -26,6 +26,24 @@ def _key(line: Column) -> Column:
     return F.unhex(F.md5(_trimmed(line)))
 
 
+def _keyed(docs: DataFrame, id_column: str | None, min_chars: int, text: str, site: str, whole: bool) -> DataFrame:
+    """What is asked of the texts, read once: ``id``, ``site``, ``keys`` of the distinct lines of at least
+    ``min_chars``, and, with ``whole``, the key of the text's trimmed lines, null if fewer than two of them are
+    filled. Keys are MD5 sums of trimmed lines."""
+    columns = [F.col(site).cast("string").alias("site"), F.transform(_lines(text), _trimmed).alias("lines")]
+    if id_column:
+        columns.append(F.col(id_column).alias("id"))
+    trimmed = docs.select(columns)
+    # Distinct as strings: binary values are compared all with all.
+    long = F.array_distinct(F.filter("lines", lambda x: F.length(x) >= min_chars))
+    keys = F.transform(long, lambda x: F.unhex(F.md5(x))).alias("keys")
+    if whole:
+        filled = trimmed.withColumn("filled", F.filter("lines", lambda x: F.length(x) > 0))
+        several = F.when(F.size("filled") > 1, F.unhex(F.md5(F.array_join("filled", "\n"))))
+        return materialise(filled.select("id", "site", keys, several.alias("whole")))
+    return materialise(trimmed.select(*trimmed.drop("lines").columns, keys))
+
+
 def _whole(text: str) -> Column:
     """MD5 of a text's trimmed lines, null if fewer than two of them are filled."""
     lines = F.filter(F.transform(_lines(text), _trimmed), lambda x: F.length(x) > 0)
@@ -34,9 +52,13 @@ def _whole(text: str) -> Column:
 
 def copied_texts(docs: DataFrame, min_sites: int = 10, text: str = "text", site: str = "source") -> DataFrame:
     """Keys of the texts of several lines that stand as a whole on at least ``min_sites`` distinct sites."""
+    return _on_sites(docs.select(_whole(text).alias("key"), F.col(site).cast("string").alias("site")), min_sites)
+
+
+def _on_sites(keyed: DataFrame, min_sites: int) -> DataFrame:
+    """Keys that stand on at least ``min_sites`` distinct sites."""
     return materialise(
-        docs.select(_whole(text).alias("key"), F.col(site).cast("string").alias("site"))
-        .where("key IS NOT NULL AND site IS NOT NULL")
+        keyed.where("key IS NOT NULL AND site IS NOT NULL")
         .groupBy("key", "site")
         .agg(F.lit(1).alias("one"))
         .groupBy("key")
@@ -61,10 +83,11 @@ def spread_lines(
     sets the sketch size (4096 registers: a standard error of 1.6 %); estimates within ``band`` of
     the threshold are counted exactly, which is six standard errors.
     """
-    lines = docs.select(
-        F.col(site).cast("string").alias("site"),
-        F.explode(F.filter(_lines(text), lambda x: F.length(_trimmed(x)) >= min_chars)).alias("line"),
-    ).select("site", _key(F.col("line")).alias("key"))
+    return _spread(_keyed(docs, None, min_chars, text, site, False), min_sites, lg_k, band)
+
+
+def _spread(keyed: DataFrame, min_sites: int, lg_k: int = 12, band: float = 0.1) -> DataFrame:
+    lines = keyed.select("site", F.explode("keys").alias("key"))
     low, high = math.floor(min_sites * (1 - band)), math.ceil(min_sites * (1 + band))
     estimates = materialise(
         lines.groupBy("key")
@@ -105,28 +128,22 @@ def remove_spread_lines(
     repeat an id are handled alike, and a null id is an id of its own. ``n_chars``, if there, is
     brought up to date. All other columns stay as they are.
 
+    Texts are read twice: for the keys of their lines, which are written with the ids, and to take lines out.
     Only keys are shuffled to find a document's boilerplate, one set per document, so nothing grows
     with the number of documents that share a line.
     """
-    spread = spread_lines(docs, min_sites, min_chars, text, site)
-    found = docs.select(
-        F.col(id_column).alias("__id"),
-        F.explode(
-            F.array_distinct(
-                F.transform(
-                    F.filter(_lines(text), lambda x: F.length(_trimmed(x)) >= min_chars), _key
-                )
-            )
-        ).alias("key"),
-    ).join(spread, "key")
+    keyed = _keyed(docs, id_column, min_chars, text, site, max_share is None)
+    spread = _spread(keyed, min_sites)
+    found = keyed.select(F.col("id").alias("__id"), F.explode("keys").alias("key")).join(spread, "key")
     sets = [F.collect_set("key").alias("__drop")]
     if max_share is None:
         # Per id as well, as rows that share an id, such as null, need not share their text.
-        wholes = docs.select(F.col(id_column).alias("__id"), _whole(text).alias("key"))
-        copies = wholes.join(copied_texts(docs, min_sites, text, site), "key").select("__id", F.col("key").alias("whole"))
+        wholes = keyed.select("id", "site", F.col("whole").alias("key"))
+        copies = wholes.join(_on_sites(wholes, min_sites), "key").select(F.col("id").alias("__id"), F.col("key").alias("whole"))
         found = found.unionByName(copies, allowMissingColumns=True)
         sets.append(F.collect_set("whole").alias("__copied"))
     found = materialise(found.groupBy("__id").agg(*sets))
+    discard(keyed)
     # The same plan at every size: texts are dealt by id whether or not few documents are affected.
     joined = docs.join(found.hint("merge"), docs[id_column].eqNullSafe(found["__id"]), "left")
 

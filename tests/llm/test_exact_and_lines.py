@@ -3,6 +3,7 @@ import hashlib
 import corpus_pipeline
 import pytest
 
+from dwellmap import session
 from dwellmap.llm import exact_dedup, line_dedup, mixing
 from dwellmap.session import scratch_path
 
@@ -167,3 +168,16 @@ def test_the_index_knows_its_buckets_and_finds_owners_later(spark):
     got = {r.doc_id: (r.keep_id, r.kept) for r in again.add(docs(spark, rows)).collect()}
     assert got[5000] == (5000, True) and got[5001] == (1, False)
     assert not any(got[900 + i][1] for i in range(2, 60))
+
+
+@pytest.mark.parametrize("max_share", [None, 0.5])
+def test_lines_are_keyed_once(spark, max_share, monkeypatch):
+    """Estimates, exact counts and each document's lines come from one table of keys, which is gone in the end."""
+    kept, gone = [], []
+    monkeypatch.setattr(line_dedup, "materialise", lambda df: kept.append(df.columns) or session.materialise(df))
+    monkeypatch.setattr(line_dedup, "discard", lambda *tables: gone.extend(t.columns for t in tables))
+    spread = "a line that stands everywhere"
+    rows = [(i, f"{spread}\n {spread} \nonly text number {i}, but long enough", f"s{i}") for i in range(12)]
+    got = line_dedup.remove_spread_lines(docs(spark, rows), max_share=max_share).collect()
+    assert [c for c in kept if "keys" in c] == gone and len(gone) == 1
+    assert {(r.n_lines, r.n_removed) for r in got} == {(3, 2 if max_share is None else 0)}
