@@ -8,6 +8,7 @@ each bit proved in training, and flags texts for which a second codeword comes c
 from __future__ import annotations
 
 import itertools
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -160,8 +161,10 @@ def train(
     texts of each, taken by the order of a hash; fewer where so many would be more than ``sample_texts``
     in all, but never none.
 
-    Only the features of the sample, 13 KB a text whatever its length, come to the driver.
+    The features of the sample, 13 KB a text whatever its length, go to one task, which fits the model; the driver
+    gets limits and weights only.
     """
+    prepare(labelled.sparkSession)
     usable = labelled.where(F.col(lang).isNotNull() & has_letter(text)).select(
         F.col(lang).cast("string").alias("lang"),
         F.col(text).cast("string").alias("text"),
@@ -197,15 +200,23 @@ def train(
                 [batch.column(0), batch.column(1), pa.array(rows, pa.binary())], ["lang", "h", "x"]
             )
 
-    sample = (
-        chosen.select("lang", "h", F.lower("text").alias("text"))
-        .mapInArrow(described, "lang string, h long, x binary")
-        .toArrow()
-        .sort_by([("lang", "ascending"), ("h", "ascending")])
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, rows = [], []
+        for batch in batches:
+            if not len(batch):
+                continue
+            names += batch.column(0).to_pylist()
+            rows.append(np.stack([np.frombuffer(v, np.float32) for v in batch.column(2).to_pylist()]))
+        if names:
+            model = fit(np.concatenate(rows), languages, np.searchsorted(languages, names))
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    described_sample = chosen.select("lang", "h", F.lower("text").alias("text")).mapInArrow(
+        described, "lang string, h long, x binary"
     )
-    x = np.stack([np.frombuffer(v, np.float32) for v in sample["x"].to_pylist()])
-    y = np.searchsorted(languages, sample["lang"].to_pylist())
-    return fit(x, languages, y)
+    # In the order of language and hash, so that the model doesn't depend on how the rows are dealt out.
+    ordered = described_sample.repartition(1).sortWithinPartitions("lang", "h")
+    return pickle.loads(ordered.mapInArrow(fitted, "model binary").first()["model"])
 
 
 def identify(

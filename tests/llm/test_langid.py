@@ -65,3 +65,17 @@ def test_features_do_not_depend_on_neighbours():
     assert len(rows) == 5 and (rows[0] == rows[4]).all() and not rows[1].any()
     alone = np.concatenate(list(langid.features(pa.array(["abc def"]))))
     assert np.allclose(rows[0], alone[0])
+
+
+def test_the_sample_stays_off_the_driver(spark, monkeypatch):
+    rows = [(i, f"{word} {word} {'x' * i}", lang) for i in range(40) for lang, word in (("de", "und"), ("en", "the"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+    def fail(*_, **__):
+        raise AssertionError("features came to the driver")
+
+    monkeypatch.setattr(langid.np, "stack", fail)
+    monkeypatch.setattr(type(docs), "toArrow", fail)
+    one, other = langid.train(docs), langid.train(docs.repartition(7))
+    assert one.languages == ["de", "en"]
+    assert (one.weights == other.weights).all() and (one.bias == other.bias).all()
