@@ -58,12 +58,28 @@ class WordwiseTokenizer:
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content.encode().lower() for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._kind = "H" if width == 2 else "I"
+        self._width = width
         self._known: dict[bytes, bytes] = {}
+        self._ends = _last_tokens(self._tokenizer)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self._kind, e.ids).tobytes() for e in found]
 
+    def _plain_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of Latin letters: encoded as one text, which is cut behind the last token of each word."""
+        if not words or self._ends is None:
+            return self._ids([w.decode() for w in words])
+        text = b" ".join(words).decode()
+        ids = np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+        cuts = (np.flatnonzero(self._ends[ids]) + 1) * self._width
+        if len(cuts) != len(words):
+            # The tokenizer parts one of the words.
+            return self._ids([w.decode() for w in words])
+        data = array(self._kind, ids.tolist()).tobytes()
+        cuts = cuts.tolist()
+        return [data[a:b] for a, b in zip([0, *cuts], cuts)]
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian integers."""
         data = text.encode()
@@ -74,12 +90,16 @@ class WordwiseTokenizer:
             return self._ids([text])[0]
         words = low.split()
         known = self._known
-        new = [w for w in set(words) if w not in known]
-        if not new:
-            return b"".join([known[w] for w in words])
-        parts = {w: _parted(w) for w in new}
+        found = list(map(known.get, words))
+        if None not in found:
+            return b"".join(found)
+        parts = {w: _parted(w) for w in {w for w, v in zip(words, found) if v is None}}
         pieces = [p for p in {p for both in parts.values() for p in both} if p not in known]
-        ids = dict(zip(pieces, self._ids([p.decode() for p in pieces]), strict=True))
+        plain, other = [], []
+        for p in pieces:
+            (plain if _is_plain(p) else other).append(p)
+        ids = dict(zip(plain, self._plain_ids(plain), strict=True))
+        ids.update(zip(other, self._ids([p.decode() for p in other]), strict=True))
         room = _CACHED_WORDS - len(known)
         if room > 0:
             known.update((p, v) for p, v in ids.items() if len(p) <= _CACHED_LENGTH)
@@ -88,15 +108,34 @@ class WordwiseTokenizer:
                 ids[word] = b"".join([ids[p] if p in ids else known[p] for p in both])
                 if room > _CACHED_WORDS // 2:
                     known[word] = ids[word]
-        return b"".join([ids[w] if w in ids else known[w] for w in words])
+        return b"".join([ids[w] if v is None else v for w, v in zip(words, found)])
+
+
+def _last_tokens(tokenizer) -> np.ndarray | None:
+    """Which ids end a word, for tokenizers that mark these and can end a word in any byte; None for others."""
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    if not suffix:
+        return None
+    vocab = tokenizer.get_vocab()
+    single = {t for t in vocab if len(t) == 1}
+    if len(single) < 256 or any(t + suffix not in vocab for t in single):
+        return None
+    ends = np.zeros(max(vocab.values()) + 1, bool)
+    ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+    return ends
+
+
+def _is_plain(word: bytes) -> bool:
+    """Whether a word consists of Latin letters."""
+    letters = word.decode()
+    return letters.isalpha() and max(letters) < "\u0250"
 
 
 def _parted(word: bytes) -> tuple[bytes, ...]:
     """A word of Latin letters and the punctuation behind it, or the word as it is."""
     body = word.rstrip(b".,;:!?")
     if body and len(body) < len(word):
-        letters = body.decode()
-        if letters.isalpha() and max(letters) < "\u0250":
+        if _is_plain(body):
             return body, word[len(body) :]
     return (word,)
 

@@ -104,3 +104,15 @@ def test_rows_of_one_id_are_split_and_left_files_ignored(spark, tmp_path):
     os.truncate(tmp_path / "t" / f"{name}.ids", 4)
     with pytest.raises(Exception, match="not as long as the manifest"):
         files.documents().collect()
+
+
+def test_new_words_of_letters_are_encoded_as_one_text(whole, monkeypatch):
+    wordwise, calls = WordwiseTokenizer(PATH, 2), []
+    one_by_one = wordwise._ids
+    monkeypatch.setattr(wordwise, "_ids", lambda texts: calls.extend(texts) or one_by_one(texts))
+    # A capital I with a dot becomes two parts, so the words beside it are encoded one by one.
+    for text, alone in (("etépaierai, undch zzqx Éleè!", {",", "!"}), ("ouenchtre xİa qqzzv", {"ouenchtre", "xİa", "qqzzv"})):
+        calls.clear()
+        ids = np.frombuffer(wordwise.encode(text), "<u2").tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids
+        assert set(calls) == alone
