@@ -1,6 +1,7 @@
 """Place clustering: both ways against brute force, also around the poles and the date line."""
 
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -155,3 +156,45 @@ def test_many_groups_at_once_agree_with_each_by_cells(seed):
     bounds = np.cumsum([0, *(len(lat) for lat, _ in groups)])
     got = clustering._label_all(*(np.concatenate(axis) for axis in zip(*groups)), bounds, 65)
     assert got.tolist() == np.concatenate([clustering._label(*group, 65) for group in groups]).tolist()
+
+
+def test_small_groups_of_cells_need_no_graph_loop(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(f"u{g}", "PA", *map(int, rng.integers(0, 12, 4))) for g in range(20) for _ in range(3 + 9 * (g % 3))]
+    rows = [r for r in rows if r[2:4] != r[4:]] + [("u99", None, 1, 1, 1, 2)]
+    pairs = spark.createDataFrame(rows, "userId string, state string, row long, col long, near_row long, near_col long")
+    pairs = pairs.fillna("\0", ["state"])
+
+    def found(**options):
+        # The loop leaves out the smallest cells themselves.
+        return {tuple(r) for r in clustering._components(pairs, **options).collect() if r.u != r.component}
+
+    wanted = found(edge_limit=0)
+    monkeypatch.setattr(clustering, "EDGE_LIMIT", 15)
+    assert found() == wanted
+    monkeypatch.setattr(clustering, "EDGE_LIMIT", 1000)
+    monkeypatch.setattr(clustering, "connected_components", None)
+    assert found() == wanted
+
+
+def test_cells_meet_their_neighbours_by_blocks(spark):
+    rng = np.random.default_rng(6)
+    side = clustering._CELL_SHRINK * 65 / math.sqrt(2) / EARTH_RADIUS_M
+    # Around the date line, close to a pole, and at the equator.
+    spots = [(0.0, math.pi), (math.pi / 2 - 3 * side, 1.0), (0.7, -1.0)]
+    rows = [
+        (lat + float(a) * side, (lon + float(b) * side / max(math.cos(lat), 0.01) + math.pi) % (2 * math.pi) - math.pi)
+        for lat, lon in spots for a, b in rng.uniform(-6, 6, (60, 2))
+    ]
+    rows = [(min(lat, math.pi / 2), lon) for lat, lon in rows]
+    points = spark.createDataFrame([("u", "s", "", *r) for r in rows], "userId string, state string, path string, lat double, lon double")
+    nodes = clustering._nodes(clustering._with_cell(points, side)).localCheckpoint()
+    key = ["row", "col", "near_row", "near_col"]
+    found = [tuple(r) for r in clustering._cell_pairs(nodes, side, 65).select(*key).collect()]
+    assert len(found) == len(set(found))
+    placed = clustering._with_cell(points, side).select("lat", "lon", "row", "col").collect()
+    for i, a in enumerate(placed):
+        for b in placed[:i]:
+            (r, c), (s, d) = sorted(((a.row, a.col), (b.row, b.col)))
+            if (r, c) != (s, d) and haversine_np(a.lat, a.lon, b.lat, b.lon) <= 65:
+                assert (r, c, s, d) in found
