@@ -177,7 +177,7 @@ def _small_groups(stops: DataFrame, eps_m: float) -> DataFrame:
         return pa.ListArray.from_arrays(pa.array(bounds, type=pa.int32()), pa.array(labels, type=pa.int32()))
 
     listed = stops.groupBy(*GROUP).agg(
-        F.array_sort(F.collect_list(F.struct(*STOP_ORDER))).alias("stops")
+        F.sort_array(F.collect_list(F.struct(*STOP_ORDER))).alias("stops")
     )
     radians = [F.transform(F.col(f"stops.{c}"), F.radians) for c in ("latitude", "longitude")]
     return (
