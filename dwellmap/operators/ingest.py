@@ -106,8 +106,11 @@ def consolidate_deliveries(
 def keep_first(df: DataFrame, keys: tuple[str, ...] | list[str], *order: str) -> DataFrame:
     """First row per key in the given order, then by every other column so reruns agree.
 
-    Spark limits each group before the shuffle as well, so copies of one key never pile up.
+    Spark limits each group before the shuffle as well, so copies of one key never pile up. That takes a sort of all
+    rows of a task, so they are first dealt out, by all columns, to tasks of bounded size: a split of a well
+    compressed table holds many millions.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     rank = Window.partitionBy(*keys).orderBy(*order, *rest)
-    return df.withColumn("rank", F.row_number().over(rank)).where("rank = 1").drop("rank")
+    dealt = df.hint("rebalance", *map(F.col, df.columns))
+    return dealt.withColumn("rank", F.row_number().over(rank)).where("rank = 1").drop("rank")

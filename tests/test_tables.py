@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,6 +100,37 @@ def test_compaction(spark, tmp_path):
         sinks.compact_table(spark, none, str(tmp_path / "out2"), ("day",), allow_empty=False)
 
 
+def test_compaction_bounds_the_rows_of_a_task(spark, tmp_path, monkeypatch, capsys):
+    """Rows are dealt out before they are first sorted, and by more partitions where there are more rows."""
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(5000).selectExpr("id % 2000 AS key", "id AS turn", "id % 3 AS day").coalesce(1).write.parquet(source)
+    write = sinks.write_table
+    monkeypatch.setattr(sinks, "_ROWS_PER_PARTITION", 100, raising=False)
+    monkeypatch.setattr(sinks, "write_table", lambda df, *a: df.explain() or write(df, *a))
+    sinks.compact_table(spark, source, target, ("day",), ("key",), ("turn",))
+    plan = capsys.readouterr().out
+    dealt = re.search(r"hashpartitioning\(key#\d+L, turn#\d+L, day#\d+L, 50\), REBALANCE_PARTITIONS_BY_COL", plan)
+    assert dealt and dealt.start() > plan.index("row_number(), 1, Partial")
+    assert re.search(r"hashpartitioning\(key#\d+L, 50\), ENSURE_REQUIREMENTS", plan)
+    assert initial not in spark.conf.getAll
+    kept = tables.scan_table(spark, target).select("key", "turn", F.col("day").cast("int"))
+    assert sorted(map(tuple, kept.collect())) == [(i, i, i % 3) for i in range(2000)]
+
+
+@pytest.mark.parametrize("chosen, during", [("9", "50"), ("80", "80")])
+def test_partitions_chosen_by_the_session_are_kept(spark, chosen, during, monkeypatch):
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    monkeypatch.setattr(sinks, "_ROWS_PER_PARTITION", 100)
+    spark.conf.set(initial, chosen)
+    try:
+        with sinks._enough_tasks(spark, 4901):
+            assert spark.conf.get(initial) == during
+        assert spark.conf.get(initial) == chosen
+    finally:
+        spark.conf.unset(initial)
+
+
 def test_backfill_touches_only_its_days(spark, stops, tmp_path):
     pings, target = str(tmp_path / "pings"), str(tmp_path / "stops")
     dated = fixtures.pings(spark, SF_DIR).withColumn("process_day", F.to_date("timestamp"))
@@ -188,6 +220,12 @@ def test_first_delivery_wins_within_the_window(spark):
     assert [(r.userId, r.accuracy, r.note) for r in kept] == [("a", 1.0, "01-04"), ("a", 2.0, "other")]
 
 
+def test_first_rows_of_tables_with_odd_column_names(spark):
+    frame = spark.range(6).selectExpr("id % 2 AS key", "id AS turn", "id AS `a note`", "-id AS `1-2`")
+    kept = ingest.keep_first(frame, ("key",), "turn")
+    assert sorted(map(tuple, kept.collect())) == [(0, 0, 0, 0), (1, 1, 1, -1)]
+
+
 def test_top_rank_is_limited_before_the_shuffle(spark, capsys):
     ingest.consolidate_deliveries(fixtures.delivered(spark, SF_DIR)).explain("formatted")
     plan = capsys.readouterr().out
