@@ -2,10 +2,10 @@
 
 Every shingle flips one bit of a bit sketch, so the Hamming distance of two sketches never exceeds the
 symmetric difference of the two sets. A pair that is similar enough differs in at most D shingles,
-where D follows from its sizes. Sizes are cut into bands; all sets of a band split their sketch into
-more than D blocks, so a similar pair agrees on a whole block (pigeonhole), and blocks are joined by
-equality. Candidates are compared by whole sketches, and those that remain by their sets. No similar
-pair is missed.
+where D follows from its sizes. Sizes are cut into bands; all sets of a band are dealt into more than
+D blocks by their shingles' hashes, so a similar pair agrees on a whole block (pigeonhole), and blocks
+are joined by equality of a 64-bit parity sketch. Candidates are compared by whole sketches, and those
+that remain by their sets. No similar pair is missed.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from dwellmap.llm.texthash import mix, shingle_sets
 from dwellmap.session import discard, materialise, prepare
 
 _BAND_RATIO = 1.5
-_BLOCK_BITS = 256
 #: Members of a list that one task compares with each other at a time.
 _LIST_PART = 1024
 #: Least bytes of a sketch that a list's members carry; longer sketches are folded.
@@ -42,7 +41,7 @@ def max_difference(total: int, percent: int) -> int:
 
 @lru_cache
 def bands(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lower ends of the size bands, blocks in each, and weak blocks a set may leave out.
+    """Lower ends of the size bands, blocks in each, and how many of them a set leaves out.
 
     Sets below the first band are similar only if equal.
     """
@@ -64,14 +63,16 @@ def bands(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _signatures(tokens: np.ndarray, band: int, percent: int) -> np.ndarray:
     """Keys of the blocks on which a similar set of the same band can agree.
 
-    A block holds the parities of its shingles' bits; its key is a XOR of one value per odd bit. At
-    least ``spare`` + 1 blocks agree, so a set with at most ``spare`` blocks of fewer than two
-    shingles leaves those out: they would agree with very many unrelated sets.
+    A block's key is the XOR of one 64-bit value per shingle: blocks with different shingles have
+    different keys, however many sets there are. Every set leaves out its ``spare`` weakest blocks, by
+    number of shingles and then by key: empty blocks and those with one shingle would agree with very
+    many unrelated sets. A similar pair agrees on at least ``spare`` + 1 blocks, and the strongest of
+    these, being above ``spare`` others in both sets, is left out of neither.
     """
     _, blocks, spare = bands(percent)
     count = int(blocks[band])
     block = ((tokens >> np.uint64(32)) % np.uint64(count)).astype(np.int64)
-    values = mix((tokens & np.uint64(_BLOCK_BITS - 1)) + np.uint64(7919))
+    values = mix(tokens + np.uint64(7919))
     order = np.argsort(block, kind="stable")
     sizes = np.bincount(block, minlength=count)
     parity = np.zeros(count, np.uint64)
@@ -79,8 +80,7 @@ def _signatures(tokens: np.ndarray, band: int, percent: int) -> np.ndarray:
     starts = (np.cumsum(sizes) - sizes)[filled]
     parity[filled] = np.bitwise_xor.reduceat(values[order], starts)
     keys = mix(mix(parity) + np.arange(count, dtype=np.uint64) + np.uint64(band << 48))
-    strong = sizes > 1
-    return keys[strong] if count - strong.sum() <= spare[band] else keys
+    return keys[np.lexsort((keys, sizes))[int(spare[band]) :]]
 
 
 def describe(tokens: np.ndarray, percent: int) -> tuple[int, int, np.ndarray, bytes]:

@@ -115,3 +115,37 @@ def test_long_texts_of_a_list_are_told_apart_by_their_sketches():
         members = pa.table(parts | {c: described[c].combine_chunks() for c in ("id", "n", "brief")})
         pairs = pa.Table.from_batches(parity_join._open_pairs(percent)(iter(members.to_batches())))
         assert pairs.to_pylist() == [{"a": 0, "b": 12}]
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_unrelated_sets_share_no_block(percent):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in range(60, 1000)]
+    # The same blocks and the same low bytes, but not one shingle in common.
+    sets += [np.unique(s ^ np.uint64(256)) for s in sets]
+    with np.errstate(over="ignore"):
+        keys = np.concatenate([np.unique(parity_join.describe(s, percent)[2]) for s in sets])
+    shared = len(keys) - np.count_nonzero(np.unique(keys, return_counts=True)[1] == 1)
+    assert shared < 0.001 * len(keys)
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_just_similar_sets_share_a_block(percent):
+    rng = np.random.default_rng(9)
+    tried = 0
+    with np.errstate(over="ignore"):
+        for n in [*range(4, 70), 130, 420, 1400]:
+            for m in {n, n * 100 // percent, n + int(rng.integers(0, 1 + n // 9))}:
+                # As few in common as a similar pair can have.
+                both = -(-percent * (n + m) // (100 + percent))
+                if both > n:
+                    continue
+                for _ in range(20):
+                    tokens = rng.integers(0, 1 << 63, n + m - both).astype(np.uint64)
+                    a, b = np.sort(tokens[:n]), np.sort(tokens[n - both :])
+                    if len(a) == both == len(b):
+                        continue
+                    tried += 1
+                    x, y = parity_join.describe(a, percent)[2], parity_join.describe(b, percent)[2]
+                    assert np.intersect1d(x, y).size, (n, m, both)
+    assert tried > 500
